@@ -6,11 +6,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from gripelode import lexicon as lx
-from gripelode.functions.text import clean, contains_any, query_match, sentiment, text_of
+from gripelode.functions.text import clean, contains_any, let, query_match, sentiment, text_of
+
+
+def _pain(low: Column) -> Column:
+    return contains_any(low, lx.PAIN_PHRASES)
 
 
 def pain(c: Column) -> Column:
-    return contains_any(F.lower(text_of(c)), lx.PAIN_PHRASES)
+    return let(F.lower(text_of(c)), _pain)
 
 
 def mobile(rating: Column, c: Column) -> Column:
@@ -18,7 +22,7 @@ def mobile(rating: Column, c: Column) -> Column:
 
 
 def community(c: Column) -> Column:
-    return pain(c) & (sentiment(F.lower(text_of(c))) <= -1)
+    return let(F.lower(text_of(c)), lambda low: _pain(low) & (sentiment(low) <= -1))
 
 
 def market_strict(rating: Column, c: Column) -> Column:
@@ -26,43 +30,41 @@ def market_strict(rating: Column, c: Column) -> Column:
 
 
 def market(rating: Column, c: Column, source: Column, relaxed: bool = True) -> Column:
-    strict = market_strict(rating, c)
     if not relaxed:
-        return strict
-    low = F.lower(text_of(c))
-    easy = contains_any(low, lx.MARKET_TERMS) | F.coalesce(rating <= 3.5, F.lit(False)) | (F.length(text_of(c)) >= 120)
-    return strict | (F.lower(clean(source)).isin("g2", "capterra") & easy)
+        return market_strict(rating, c)
+    eased = F.lower(clean(source)).isin("g2", "capterra")
+    easy = let(F.lower(text_of(c)), lambda low: contains_any(low, lx.MARKET_TERMS)) | (rating <= 3.5) | (F.length(text_of(c)) >= 120)
+    return market_strict(rating, c) | (eased & F.coalesce(easy, F.lit(False)))
 
 
 def job(c: Column) -> Column:
-    low = F.lower(text_of(c))
-    return pain(c) | (contains_any(low, lx.JOB_WILLINGNESS_TERMS) & contains_any(low, lx.JOB_INEFFICIENCY_TERMS))
+    return let(F.lower(text_of(c)), lambda low: _pain(low) | (
+        contains_any(low, lx.JOB_WILLINGNESS_TERMS) & contains_any(low, lx.JOB_INEFFICIENCY_TERMS)
+    ))
 
 
 def forum(c: Column, query: Column) -> Column:
-    s = clean(c)
-    low = F.lower(s)
-    return (
-        (F.length(s) >= 80) & (query_match(s, query) > 0)
-        & (contains_any(low, lx.PAIN_PHRASES) | contains_any(low, lx.FORUM_PROBLEM_TERMS)) & (sentiment(low) <= 2)
-    )
+    def passes(low: Column) -> Column:
+        return (F.length(low) >= 80) & (_pain(low) | contains_any(low, lx.FORUM_PROBLEM_TERMS)) & (sentiment(low) <= 2)
+
+    return let(F.lower(clean(c)), passes) & (query_match(c, query) > 0)
 
 
 def launch(c: Column, query: Column) -> Column:
-    s = clean(c)
-    low = F.lower(s)
-    return (F.length(s) >= 80) & (query_match(s, query) > 0) & contains_any(low, lx.PAIN_PHRASES) & (sentiment(low) <= 0)
+    return let(F.lower(clean(c)), lambda low: (F.length(low) >= 80) & _pain(low) & (sentiment(low) <= 0)) & (query_match(c, query) > 0)
 
 
 def blocked(c: Column, launch_page: bool = False) -> Column:
-    low = F.lower(text_of(c))
-    hit = contains_any(low, lx.BLOCKED_TERMS)
-    return hit | (low.contains("forbidden") & low.contains("403")) if launch_page else hit
+    def hit(low: Column) -> Column:
+        found = contains_any(low, lx.BLOCKED_TERMS)
+        return found | (low.contains("forbidden") & low.contains("403")) if launch_page else found
+
+    return let(F.lower(text_of(c)), hit)
 
 
 def job_chunk(c: Column) -> Column:
-    low = F.lower(text_of(c))
-    return (F.length(c) >= 120) & contains_any(low, ["$", "hourly", "fixed-price"]) & job(c)
+    priced = let(F.lower(text_of(c)), lambda low: contains_any(low, ["$", "hourly", "fixed-price"]))
+    return (F.length(c) >= 120) & priced & job(c)
 
 
 def after_cursor(posted: Column, cursor: Column) -> Column:

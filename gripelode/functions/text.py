@@ -60,13 +60,20 @@ def _unescape_rare(texts):
     return texts.map(unescape, na_action="ignore")
 
 
+# Evaluated once: Spark does not copy a non-deterministic expression into pushed-down filters.
+_unescape_rare = _unescape_rare.asNondeterministic()
+
+
 def unescape(c: Column) -> Column:
-    common = reduce(lambda x, kv: F.replace(x, F.lit(f"&{kv[0]};"), F.lit(kv[1])), COMMON_ENTITIES.items(), c)
-    common = F.replace(common, F.lit("&amp;"), F.lit("&"))
     known = "|".join([*COMMON_ENTITIES, "amp"])
-    rare = c.rlike(f"&(?!(?:{known});)[#A-Za-z]")
+
+    def common(t: Column) -> Column:
+        done = reduce(lambda x, kv: F.replace(x, F.lit(f"&{kv[0]};"), F.lit(kv[1])), COMMON_ENTITIES.items(), t)
+        return F.when(t.contains("&"), F.replace(done, F.lit("&amp;"), F.lit("&"))).otherwise(t)
+
     # Python only receives the texts that need it; the others reach it as NULL.
-    return F.when(rare, _unescape_rare(F.when(rare, c))).otherwise(common)
+    rare = let(c, lambda t: F.when(t.rlike(f"&(?!(?:{known});)[#A-Za-z]"), t))
+    return F.coalesce(_unescape_rare(rare), let(c, common))
 
 
 def strip_html(c: Column) -> Column:
@@ -88,18 +95,18 @@ def contains_any(lowered: Column, words: list[str]) -> Column:
     return reduce(or_, [lowered.contains(w) for w in words])
 
 
-def count_of(lowered: Column, word: str) -> Column:
-    """Non-overlapping occurrences of a literal substring."""
-    gone = F.replace(lowered, F.lit(word), F.lit(""))
-    return F.floor((F.length(lowered) - F.length(gone)) / F.lit(len(word)))
+def count_all(lowered: Column, words: list[str]) -> Column:
+    """Sum over the words of their non-overlapping occurrences as substrings."""
 
+    def count_of(low: Column, word: str) -> Column:
+        gone = F.replace(low, F.lit(word), F.lit(""))
+        return F.floor((F.length(low) - F.length(gone)) / F.lit(len(word)))
 
-def count_all(lowered: Column, words: list[str]) -> Column:
-    return reduce(add, [count_of(lowered, w) for w in words])
+    return let(lowered, lambda low: reduce(add, [count_of(low, w) for w in words]))
 
 
 def sentiment(lowered: Column) -> Column:
-    return count_all(lowered, lx.POSITIVE_WORDS) - count_all(lowered, lx.NEGATIVE_WORDS)
+    return let(lowered, lambda low: count_all(low, lx.POSITIVE_WORDS) - count_all(low, lx.NEGATIVE_WORDS))
 
 
 def query_tokens(query: Column) -> Column:

@@ -116,13 +116,16 @@ def cluster_domain(clustered: DataFrame) -> DataFrame:
 
 
 def support_score(comment: Column, rating: Column) -> Column:
-    stripped = text.strip(text.text_of(comment))
-    low = F.lower(stripped)
     bonus = F.when(rating <= 2.0, 2.0).when(rating <= 3.0, 1.0).otherwise(0.0)
-    return (
-        text.count_all(low, lx.NEGATIVE_WORDS) * F.lit(1.4) + text.count_all(low, lx.WILLINGNESS_CUES) * F.lit(1.1)
-        + F.least(F.lit(2.5), F.length(stripped) / F.lit(220.0)) + bonus
-    )
+
+    def wording(txt: Column) -> Column:
+        low = F.lower(txt)
+        return (
+            text.count_all(low, lx.NEGATIVE_WORDS) * F.lit(1.4) + text.count_all(low, lx.WILLINGNESS_CUES) * F.lit(1.1)
+            + F.least(F.lit(2.5), F.length(txt) / F.lit(220.0))
+        )
+
+    return text.let(text.strip(text.text_of(comment)), wording) + bonus
 
 
 def support_rows(clustered: DataFrame, limit: int) -> DataFrame:

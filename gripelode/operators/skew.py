@@ -29,3 +29,14 @@ def attach_totals(rows: DataFrame, totals: DataFrame, key: str, size_col: str, s
         .withColumn("_total", F.coalesce("_hot", "_cold"))
     )
     return joined.select(*rows.columns, *[F.col("_total")[v].alias(v) for v in values])
+
+
+def salted_lookup(rows: DataFrame, lookup: DataFrame, row_key: str, lookup_key: str, spread_by: list[str], salts: int = 32) -> DataFrame:
+    """Left join to a lookup with one row per key, far fewer rows than ``rows``.
+
+    The lookup is repeated once per salt, so the rows of one key are shared by ``salts`` tasks.
+    """
+    salted = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    spread = rows.withColumn("_row_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
+    on = (F.col(row_key) == F.col(lookup_key)) & (F.col("_row_salt") == F.col("_salt"))
+    return spread.join(salted, on, "left").drop("_row_salt", "_salt")

@@ -1,6 +1,6 @@
 """All named queries; importing this package registers them."""
 
-from gripelode.plans import cluster_queries, text_queries  # noqa: F401
-from gripelode.plans.registry import ORACLES, QUERIES
+from gripelode.plans import cluster_queries, source_queries, text_queries  # noqa: F401
+from gripelode.plans.registry import QUERIES, oracles
 
-__all__ = ["ORACLES", "QUERIES"]
+__all__ = ["QUERIES", "oracles"]

@@ -12,7 +12,7 @@ from gripelode.session import prepare
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
+CHECKS: dict[str, str] = {}
 CTES: dict[str, str] = {}
 
 
@@ -37,6 +37,10 @@ def with_ctes(sql: str) -> str:
     return f"WITH {parts}\n{sql}"
 
 
+def oracles() -> dict[str, str]:
+    return {name: with_ctes(sql) for name, sql in CHECKS.items()}
+
+
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +48,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
         QUERIES[name] = run
         if sql is not None:
-            ORACLES[name] = with_ctes(sql)
+            CHECKS[name] = sql
         return fn
 
     return register

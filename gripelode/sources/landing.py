@@ -100,3 +100,163 @@ def time_texts(events: DataFrame) -> DataFrame:
         .otherwise(F.concat(F.lit("about "), second))
     )
     return events.select("event_id", value.alias("value"))
+
+
+# --- payload pages: each body holds the reviews of one page of event ids ----------------------
+
+
+def paged(revs: DataFrame, keys_: list[str], item: Column) -> DataFrame:
+    """One row per key and page with its ``items`` in event order (at most PAGE of them)."""
+    page = F.floor(F.col("event_id") / PAGE).alias("page")
+    listed = F.array_sort(F.collect_list(F.struct(F.col("event_id"), item.alias("item"))))
+    return revs.groupBy(*keys_, page).agg(F.transform(listed, lambda s: s["item"]).alias("items"))
+
+
+def _e(n: int, hit: int = 0) -> Column:
+    return F.col("event_id") % n == hit
+
+
+def _label(c: Column, name: str = "label") -> Column:
+    return F.struct(c.alias(name))
+
+
+def play_payloads(revs: DataFrame) -> DataFrame:
+    item = F.struct(
+        F.when(~_e(29), F.col("source_item_id")).alias("reviewId"), F.col("reviewer_name").alias("userName"),
+        F.concat(F.lit(" "), F.replace("comment_text", F.lit(" "), F.lit("  "))).alias("content"), F.col("rating").alias("score"),
+        F.col("posted_at").alias("at"),
+    )
+    revs = revs.withColumn("play_id", F.concat(F.lit("app."), "entity_id")).withColumn("country", F.lower("country"))
+    pages = paged(revs, ["play_id", "entity_name", "category", "country"], item)
+    return pages.select("play_id", F.col("entity_name").alias("app_name"), "category", "country", F.to_json("items").alias("body"))
+
+
+def appstore_payloads(revs: DataFrame) -> DataFrame:
+    rating = F.when(_e(31), "five").otherwise(F.col("rating").cast("string"))
+    item = F.struct(
+        F.when(F.col("rating").isNotNull(), _label(rating)).alias("im:rating"), _label(F.col("comment_text")).alias("content"),
+        _label(F.col("posted_at")).alias("updated"), _label(F.col("source_item_id")).alias("id"),
+        F.struct(_label(F.col("reviewer_name")).alias("name")).alias("author"),
+    )
+    pages = paged(revs.withColumn("country", F.lower("country")), ["entity_id", "entity_name", "category", "country"], item)
+    many = F.to_json(F.struct(F.struct(F.col("items").alias("entry")).alias("feed")))
+    one = F.to_json(F.struct(F.struct(F.get("items", F.lit(0)).alias("entry")).alias("feed")))
+    body = F.when(F.size("items") == 1, one).otherwise(many)
+    return pages.select(F.col("entity_id").alias("apple_id"), F.col("entity_name").alias("app_name"), "category", "country", body.alias("body"))
+
+
+def community_payloads(revs: DataFrame) -> DataFrame:
+    post = F.struct(
+        F.col("event_id").cast("string").alias("id"), F.when(_e(29), "").otherwise(F.col("source_item_id")).alias("name"),
+        F.col("comment_text").alias("title"), F.when(_e(2), "Details\n\n follow").otherwise("").alias("selftext"),
+        F.col("reviewer_name").alias("author"), F.concat(F.lit("/r/x/"), F.col("event_id").cast("string")).alias("permalink"),
+        (keys.epoch_micros(F.col("posted_ts")) / 1e6).alias("created_utc"),
+    )
+    pages = paged(revs, ["entity_name"], _label(post, "data"))
+    listing = F.struct(F.struct(F.col("items").alias("children")).alias("data"))
+    return pages.select(F.lower("entity_name").alias("community"), F.to_json(listing).alias("body"))
+
+
+def _result_text() -> Column:
+    link = F.when(_e(4), F.concat(F.lit(" https://news.ycombinator.com/item?id="), F.col("event_id"))).otherwise("")
+    return F.concat("comment_text", link)
+
+
+def forum_payloads(revs: DataFrame) -> DataFrame:
+    pages = paged(revs, ["category"], F.concat(_result_text(), F.lit("\n")))
+    query = F.concat("category", F.lit(" team export"))
+    return pages.select(query.alias("query"), "category", "page", F.concat(F.lit(" \n\n"), F.array_join("items", "\n\n \n\n")).alias("body"))
+
+
+def launch_payloads(revs: DataFrame) -> DataFrame:
+    """Every third page is HTML, every fifth a challenge page."""
+    pages = paged(revs, ["category"], F.col("comment_text"))
+    html = F.concat(F.lit("<HTML><body><p>"), F.array_join("items", "!</p><p>"), F.lit("</p></body></html>"))
+    body = F.when(F.col("page") % 3 == 1, html).otherwise(F.array_join("items", "\n\n\n"))
+    guarded = F.when(F.col("page") % 5 == 0, F.concat(F.lit("Captcha\n\n"), body)).otherwise(body)
+    return pages.select(F.lit("ticket & export").alias("query"), "category", "page", guarded.alias("body"))
+
+
+def _xml(name: str, value: Column) -> Column:
+    escaped = F.replace(F.replace(value, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    return F.concat(F.lit(f"<{name}>"), escaped, F.lit(f"</{name}>"))
+
+
+def atom_payloads(revs: DataFrame) -> DataFrame:
+    """Entries with summary or content, some without id, some without title and summary."""
+    markup = F.concat(F.lit("<p>"), "comment_text", F.lit(" &amp; more</p>"))
+    body = F.when(_e(7), "").otherwise(F.concat(_xml("title", F.concat(F.lit("Launch "), F.col("event_id"))), F.when(_e(2), _xml("summary", markup)).otherwise(_xml("content", markup))))
+    entry = F.concat(
+        F.lit("<entry>"), body, F.when(_e(29), "").otherwise(_xml("id", F.concat(F.lit("tag:"), "source_item_id"))), _xml("updated", F.col("posted_at")),
+        F.lit('<link rel="alternate" href="'), "url", F.lit('"/><link rel="edit" href="https://no.example/"/></entry>'),
+    )
+    pages = paged(revs, ["category"], entry)
+    feed = F.concat(F.lit('<?xml version="1.0" encoding="UTF-8"?><feed xmlns="http://www.w3.org/2005/Atom"><title>t</title>'), F.array_join("items", "\n"), F.lit("</feed>"))
+    return pages.select(F.lit("export launch").alias("query"), "category", feed.alias("body"))
+
+
+def rss_payloads(revs: DataFrame) -> DataFrame:
+    item = F.concat(
+        F.lit("<item>"), _xml("title", F.concat(F.lit("Job "), F.col("event_id"))), _xml("description", F.concat(F.lit("<b>"), "comment_text", F.lit("</b>"))),
+        _xml("link", F.col("url")), F.when(_e(29), "").otherwise(_xml("guid", F.col("source_item_id"))),
+        _xml("pubDate", F.date_format("posted_ts", "EEE, dd MMM yyyy HH:mm:ss' +0000'")), F.lit("</item>"),
+    )
+    pages = paged(revs, ["category"], item)
+    feed = F.concat(F.lit('<rss version="2.0"><channel><title>t</title>'), F.array_join("items", ""), F.lit("</channel></rss>"))
+    return pages.select(F.col("category").alias("query"), "category", feed.alias("body"))
+
+
+def dataset_payloads(revs: DataFrame) -> DataFrame:
+    """Lists on even pages, ``items`` objects on odd ones; spellings alternate."""
+    item = F.struct(
+        F.concat(F.lit(" Job  "), F.col("event_id")).alias("title"), F.concat(F.lit("<i>"), "comment_text", F.lit("</i>")).alias("description"),
+        F.when(_e(2), F.col("url")).alias("url"), F.when(_e(2, 1), F.col("url")).alias("link"),
+        F.when(_e(3), F.col("source_item_id")).otherwise("").alias("id"), F.when(~_e(29), F.col("source_item_id")).alias("jobId"),
+        F.when(_e(2), F.col("posted_at")).alias("publishedAt"), F.when(_e(2, 1), F.col("posted_at")).alias("createdAt"),
+    )
+    pages = paged(revs, ["category"], item)
+    body = F.when(F.col("page") % 2 == 0, F.to_json("items")).otherwise(F.to_json(F.struct("items")))
+    return pages.select(F.col("category").alias("query"), "category", "page", body.alias("body"))
+
+
+def job_node_payloads(revs: DataFrame) -> DataFrame:
+    """Nested edge lists with alternating spellings, epoch seconds, epoch millis and ISO dates."""
+    seconds = F.floor(keys.epoch_micros(F.col("posted_ts")) / 1_000_000)
+    node = F.struct(
+        F.when(_e(2), F.concat(F.lit("Job "), F.col("event_id"))).alias("title"), F.when(_e(2, 1), F.concat(F.lit("Job "), F.col("event_id"))).alias("jobTitle"),
+        F.when(_e(3), F.concat(F.lit("<p>"), "comment_text", F.lit("</p>"))).alias("description"), F.when(_e(3, 1), F.col("comment_text")).alias("snippet"),
+        F.when(_e(4), "15").alias("hourlyBudgetMin"), F.when(_e(5), 200).alias("amount"), F.when(_e(5), "USD").alias("currencyCode"),
+        F.col("url").alias("canonicalUrl"), F.when(~_e(29), F.col("source_item_id")).alias("jobId"),
+        F.when(_e(3), seconds).when(_e(3, 1), seconds * 1000).alias("publishedOn"), F.when(_e(3, 2), F.col("posted_at")).alias("createdAt"),
+        F.struct(F.col("country").alias("code")).alias("client"),
+    )
+    pages = paged(revs, ["category"], F.struct(node.alias("node")))
+    data = F.struct(F.struct(F.struct(F.col("items").alias("edges"), F.lit(1).alias("total")).alias("search")).alias("data"))
+    return pages.select(F.concat_ws("-", "category", "page").alias("payload_id"), F.col("category").alias("query"), "category", F.to_json(data).alias("body"))
+
+
+def forum_listings(revs: DataFrame) -> DataFrame:
+    """Forum HTML: story rows, comments and new-comment rows of one page."""
+    e = F.col("event_id")
+    link = F.when(_e(3), F.concat(F.lit("item?id="), e)).otherwise(F.col("url"))
+    story = F.concat(
+        F.lit("<tr class='athing submission' id='"), e, F.lit("'>\n<td><span class=\"titleline\"> <a rel=\"n\" href=\""), link, F.lit("\">"),
+        F.when(_e(11), "").otherwise(F.col("comment_text")), F.lit(" <i>&amp;</i></a></span></td></tr>"),
+    )
+    comment = F.concat(F.lit("<span dir='x' class=\"commtext c00\">"), F.when(_e(7), " <p> ").otherwise(F.col("comment_text")), F.lit("</span>"))
+    fresh = F.concat(
+        F.lit("<tr class='athing' data='1' id='"), e, F.lit("'><td><span x='1' class=\"onstory\">on: <a x='1' href=\""),
+        F.when(_e(2), F.concat(F.lit("/item?id="), e)).otherwise(F.col("url")), F.lit("\">Story <b>"), e,
+        F.lit("</b></a></span><div x='1' class=\"comment\"> <div x='1' class=\"commtext c00\">"), F.when(_e(7), "").otherwise(F.col("comment_text")), F.lit("</div></div></td></tr>"),
+    )
+    pages = paged(revs, ["category"], F.struct(story.alias("story"), comment.alias("comment"), fresh.alias("fresh")))
+    return pages.select(
+        F.concat_ws("-", "category", "page").alias("listing_id"),
+        *[F.concat(F.lit("<table>"), F.array_join(F.col(f"items.{k}"), "\n"), F.lit("</table>")).alias(k) for k in ("story", "comment", "fresh")],
+    )
+
+
+def job_search_pages(revs: DataFrame) -> DataFrame:
+    pages = paged(revs, ["category"], F.concat("comment_text", F.lit(" fixed-price, needs a long description. "), F.col("event_id")))
+    body = F.concat(F.when(F.col("page") % 5 == 4, "Just a moment\n\n").otherwise(""), F.array_join("items", "\n\n"))
+    return pages.select(F.concat_ws("-", "category", "page").alias("query"), "category", "page", body.alias("body"))
