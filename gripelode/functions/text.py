@@ -186,7 +186,8 @@ def level(c: Column, default: Column) -> Column:
 def bounded(c: Column, default: Column, lo: float, hi: float) -> Column:
     """A number clamped to [lo, hi]; anything that is not a number gives the default."""
     x = c.try_cast("double")
-    return F.coalesce(F.least(F.lit(hi), F.greatest(F.lit(lo), x)), default)
+    # least and greatest skip NULLs, so a missing number needs its own branch.
+    return F.when(x.isNull(), default).otherwise(F.least(F.lit(hi), F.greatest(F.lit(lo), x)))
 
 
 def genre(c: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gripelode import lexicon as lx
 from gripelode.functions import text
 from gripelode.operators.rank import positions
+from gripelode.session import stage
 
 SEED_COLUMNS = ["seed_type", "pos", "name", "play_id", "apple_id", "key", "category", "keywords", "enabled"]
 QUERY_DEFAULTS = {"hackernews": "Startups", "producthunt": "Productivity", "upwork": "Operations"}
@@ -241,8 +242,9 @@ def select_apps(apps: DataFrame, limit: int, apple_target: int, starts: dict[str
         placed = in_file_order(rows, ["seed_type"])
         total = F.coalesce(rows.agg(F.count("*")).scalar(), F.lit(0))
         start = F.when(F.lit(starts.get(name, 0)) >= total, 0).otherwise(F.lit(starts.get(name, 0)))
-        cut = placed.where((F.lit(True) if prio < 0 else room > 0) & ((room >= total) | F.col("position").between(start, start + room - 1)))
-        return _first_by_key(cut.drop("position").withColumn("prio", F.lit(prio)), key, ["prio", "pos"])
+        cut = placed.where((room > 0) & ((room >= total) | F.col("position").between(start, start + room - 1)))
+        # At most ``limit`` rows, read again by the later steps.
+        return stage(_first_by_key(cut.drop("position").withColumn("prio", F.lit(prio)), key, ["prio", "pos"]), f"apps_{name}")
 
     with_apple = taken(apps.where(F.col("apple_id") != ""), "apple", F.lit(min(max(0, apple_target), limit)), 0)
     room = F.lit(limit) - with_apple.agg(F.count("*")).scalar()
