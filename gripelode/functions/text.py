@@ -6,8 +6,6 @@ Everything here stays in the JVM except the rare-entity fallback of ``strip_html
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
-from operator import add, or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -30,6 +28,11 @@ def text_of(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 
 
+def words(values: list[str]) -> Column:
+    """A fixed list as an array; folded to one literal when the query is planned."""
+    return F.split(F.lit("|".join(values)), "[|]")
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is evaluated once, however often the body uses it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -66,10 +69,12 @@ _unescape_rare = _unescape_rare.asNondeterministic()
 
 def unescape(c: Column) -> Column:
     known = "|".join([*COMMON_ENTITIES, "amp"])
+    # The ampersand comes last, so that nothing is decoded twice.
+    table = F.arrays_zip(words([*COMMON_ENTITIES, "amp"]).alias("name"), words([*COMMON_ENTITIES.values(), "&"]).alias("char"))
 
     def common(t: Column) -> Column:
-        done = reduce(lambda x, kv: F.replace(x, F.lit(f"&{kv[0]};"), F.lit(kv[1])), COMMON_ENTITIES.items(), t)
-        return F.when(t.contains("&"), F.replace(done, F.lit("&amp;"), F.lit("&"))).otherwise(t)
+        decoded = F.aggregate(table, t, lambda acc, e: F.replace(acc, F.concat(F.lit("&"), e["name"], F.lit(";")), e["char"]))
+        return F.when(t.contains("&"), decoded).otherwise(t)
 
     # Python only receives the texts that need it; the others reach it as NULL.
     rare = let(c, lambda t: F.when(t.rlike(f"&(?!(?:{known});)[#A-Za-z]"), t))
@@ -87,22 +92,25 @@ def tokens(c: Column) -> Column:
 
 def content_terms(c: Column) -> Column:
     # Shorter stopwords cannot occur among tokens of three or more characters.
-    stop = F.array(*[F.lit(w) for w in lx.STOPWORDS if len(w) > 2])
+    stop = words([w for w in lx.STOPWORDS if len(w) > 2])
     return F.filter(tokens(c), lambda t: ~F.array_contains(stop, t))
 
 
-def contains_any(lowered: Column, words: list[str]) -> Column:
-    return reduce(or_, [lowered.contains(w) for w in words])
+def contains_any(lowered: Column, values: list[str]) -> Column:
+    return F.exists(words(values), lambda w: lowered.contains(w))
 
 
-def count_all(lowered: Column, words: list[str]) -> Column:
+def count_all(lowered: Column, values: list[str]) -> Column:
     """Sum over the words of their non-overlapping occurrences as substrings."""
 
-    def count_of(low: Column, word: str) -> Column:
-        gone = F.replace(low, F.lit(word), F.lit(""))
-        return F.floor((F.length(low) - F.length(gone)) / F.lit(len(word)))
+    def add_hits(low: Column) -> Callable[[Column, Column], Column]:
+        def step(total: Column, w: Column) -> Column:
+            gone = F.length(low) - F.length(F.replace(low, w, F.lit("")))
+            return total + F.floor(gone / F.length(w))
+
+        return step
 
-    return let(lowered, lambda low: reduce(add, [count_of(low, w) for w in words]))
+    return let(lowered, lambda low: F.aggregate(words(values), F.lit(0).cast("long"), add_hits(low)))
 
 
 def sentiment(lowered: Column) -> Column:
@@ -137,13 +145,13 @@ def title_case(c: Column) -> Column:
 
 
 def _is_place(txt: Column) -> Column:
-    places = F.array(*[F.lit(x) for x in lx.LOCATIONS])
+    places = words(lx.LOCATIONS)
     named = let(
         F.regexp_extract_all(txt, F.lit("[a-z]+"), F.lit(0)),
-        lambda words: F.size(words).between(1, 3) & F.arrays_overlap(words, places),
+        lambda found: F.size(found).between(1, 3) & F.arrays_overlap(found, places),
     )
     ending = txt.rlike("(" + "|".join(lx.LOCATION_SUFFIXES) + ")$")
-    return (txt != "") & (txt.isin(lx.LOCATIONS + lx.LOCATION_CODES) | ending | named)
+    return (txt != "") & (F.array_contains(words(lx.LOCATIONS + lx.LOCATION_CODES), txt) | ending | named)
 
 
 def looks_like_location(c: Column) -> Column:
@@ -158,7 +166,7 @@ def clean_tag(c: Column) -> Column:
         return F.when(short == F.lower(short), title_case(short)).otherwise(short)
 
     def kept(flat: Column) -> Column:
-        drop = (flat == "") | F.lower(flat).isin(lx.GENERIC_TAGS) | looks_like_location(flat)
+        drop = (flat == "") | F.array_contains(words(lx.GENERIC_TAGS), F.lower(flat)) | looks_like_location(flat)
         return F.when(~drop, let(F.trim(F.substring(flat, 1, 40)), display))
 
     return let(F.trim(F.regexp_replace(spaced, WS + "+", " ")), kept)

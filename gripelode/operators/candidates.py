@@ -18,33 +18,29 @@ SUPPORT_FIELDS = [
 
 def score_clusters(totals: DataFrame) -> DataFrame:
     n, sc = F.col("n"), F.col("source_count")
-    return (
-        totals.withColumn("heuristic_willingness", scores.heuristic_willingness(n, sc, F.col("cue_hits")))
-        .withColumn("willingness_signal", scores.willingness_label(F.col("heuristic_willingness")))
-        .withColumn("heuristic_confidence", scores.heuristic_confidence(n, sc))
-        .withColumn("confidence", F.col("heuristic_confidence"))
-        .withColumn("impact_label", scores.impact(F.col("avg_rating"), n))
-        .withColumn("frequency_label", scores.frequency(n))
-        .withColumn("pricing_hint", scores.pricing_hint(F.col("willingness_signal")))
-    )
+    scored = totals.withColumns({
+        "heuristic_willingness": scores.heuristic_willingness(n, sc, F.col("cue_hits")), "heuristic_confidence": scores.heuristic_confidence(n, sc),
+        "impact_label": scores.impact(F.col("avg_rating"), n), "frequency_label": scores.frequency(n),
+    })
+    labeled = scored.withColumns({"willingness_signal": scores.willingness_label(F.col("heuristic_willingness")), "confidence": F.col("heuristic_confidence")})
+    return labeled.withColumn("pricing_hint", scores.pricing_hint(F.col("willingness_signal")))
 
 
 def finish_scores(df: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """Final scores and gate from the (possibly model-adjusted) label and confidence."""
     sc, confidence = F.col("source_count"), F.col("confidence")
-    return (
-        df.withColumn("willingness", scores.willingness_score(F.col("heuristic_willingness"), F.col("willingness_signal")))
-        .withColumn("raw", scores.raw_score(F.col("n"), sc, F.col("willingness"), confidence))
-        .withColumn("boosted", scores.boosted_score(F.col("raw"), sc))
-        .withColumn("difficulty", scores.difficulty(F.col("boosted")))
-        .withColumn("quality_reason", scores.quality_reason(F.col("n"), sc, confidence, cfg))
-        .withColumn("quality_status", scores.quality_status(F.col("quality_reason")))
-        .withColumn("willingness_score", F.round("willingness", 2))
-        .withColumn("raw_opportunity_score", F.round("raw", 2))
-        .withColumn("boosted_opportunity_score", F.round("boosted", 2))
-        .withColumn("confidence_score", F.round(confidence, 2))
-        .withColumn("quality_score", F.round(confidence * 100, 2))
+    judged = df.withColumns({
+        "willingness": scores.willingness_score(F.col("heuristic_willingness"), F.col("willingness_signal")),
+        "quality_reason": scores.quality_reason(F.col("n"), sc, confidence, cfg),
+    })
+    boosted = judged.withColumn("raw", scores.raw_score(F.col("n"), sc, F.col("willingness"), confidence)).withColumn(
+        "boosted", scores.boosted_score(F.col("raw"), sc)
     )
+    return boosted.withColumns({
+        "difficulty": scores.difficulty(F.col("boosted")), "quality_status": scores.quality_status(F.col("quality_reason")),
+        "willingness_score": F.round("willingness", 2), "raw_opportunity_score": F.round("raw", 2), "boosted_opportunity_score": F.round("boosted", 2),
+        "confidence_score": F.round(confidence, 2), "quality_score": F.round(confidence * 100, 2),
+    })
 
 
 def narratives(df: DataFrame) -> DataFrame:

@@ -33,10 +33,9 @@ def key_reviews(reviews: DataFrame) -> DataFrame:
     """Non-blank reviews with at least one content term, with domain tag, terms and cluster key."""
     category, entity = (text.clean_tag(F.col(c)) for c in ("category", "entity_name"))
     return (
-        reviews.where(F.col("comment_text").isNotNull() & (F.trim("comment_text") != ""))
-        .withColumn("terms", text.content_terms(F.col("comment_text")))
-        .where(F.size("terms") > 0)
-        .withColumn("tag", F.coalesce(category, entity))
+        reviews.where("trim(comment_text) <> ''")
+        .withColumns({"terms": text.content_terms(F.col("comment_text")), "tag": F.coalesce(category, entity)})
+        .where("size(terms) > 0")
         .withColumn("raw_key", keys.cluster_key(F.coalesce("tag", F.lit("General")), F.col("terms")))
     )
 

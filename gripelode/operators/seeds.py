@@ -269,8 +269,8 @@ def app_breakdown(selected: DataFrame) -> DataFrame:
 
 def phrase_product(df: DataFrame, column: str, *vocabularies: list[str]) -> DataFrame:
     """Every phrase of ``column`` followed by one word group of each fixed vocabulary."""
-    for i, words in enumerate(vocabularies):
-        df = df.withColumn(f"_w{i}", F.explode(F.array(*[F.lit(w) for w in words])))
+    for i, vocabulary in enumerate(vocabularies):
+        df = df.withColumn(f"_w{i}", F.explode(text.words(vocabulary)))
     made = F.concat_ws(" ", column, *[f"_w{i}" for i in range(len(vocabularies))])
     return df.withColumn("query", made).drop(*[f"_w{i}" for i in range(len(vocabularies))])
 

@@ -248,7 +248,7 @@ def job_nodes(objects: DataFrame) -> DataFrame:
     def field(*names: str) -> Column:
         return F.coalesce(*[F.nullif(F.try_variant_get("v", f"$.{n}", "string"), F.lit("")) for n in names])
 
-    hinted = F.arrays_overlap(F.json_object_keys("object"), F.array(*[F.lit(h) for h in lx.JOB_NODE_HINTS]))
+    hinted = F.arrays_overlap(F.json_object_keys("object"), text.words(lx.JOB_NODE_HINTS))
     date_text = field("publishedOn", "publishedAt", "createdAt", "createTime")
     number = F.when(date_text.rlike(r"^-?\d+(\.\d+)?([eE][+-]?\d+)?$"), date_text.try_cast("double"))
     low, high, amount = (text.clean(field(n)) for n in ("hourlyBudgetMin", "hourlyBudgetMax", "amount"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gripelode import lexicon as lx
 from gripelode.functions import keys
+from gripelode.functions.text import words
 
 PHRASES = [
     "I hate this, the export is broken and slow: ", "Frustrated with pricing, would pay for an alternative to ",
@@ -25,41 +26,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def pick(values: list[str], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+    return F.element_at(words(values), (index + 1).cast("int"))
+
+
+def _sql_list(values: list[str]) -> str:
+    return "array(" + ", ".join("'" + v.replace("'", "\\'") + "'" for v in values) + ")"
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One canonical review per event; the part it is about gives the entity."""
-    events = table(spark, sf_dir, "events").withColumn("entity", F.col("user_id") % ENTITIES)
+    events = table(spark, sf_dir, "events").selectExpr("*", f"user_id % {ENTITIES} AS entity")
     # p_partkey is the key of part, so this side has at most ENTITIES rows at any scale.
-    parts = table(spark, sf_dir, "part").where(F.col("p_partkey").between(0, ENTITIES - 1))
-    joined = events.join(F.broadcast(parts), F.col("entity") == F.col("p_partkey"))
-    e = F.col("event_id")
-    text = F.concat(
-        pick(PHRASES, (e + F.floor("value")) % 10), F.col("p_name"), F.lit(" "), F.col("event_type"),
-        F.when(e % 3 == 0, SUFFIX).otherwise(""),
-    )
-    category = F.when(e % 17 == 0, "Unknown").when(e % 19 == 0, "india").otherwise(F.lower("p_type"))
-    out = joined.select(
-        e.alias("event_id"),
-        pick(lx.SOURCE_LABELS, e % 8).alias("source"),
-        F.concat(F.lit("it"), F.when(e % 23 == 0, e - 8).otherwise(e)).alias("source_item_id"),
-        F.col("entity").cast("string").alias("entity_id"),
-        F.col("p_brand").alias("entity_name"),
-        category.alias("category"),
-        F.concat(F.lit("user"), F.col("user_id")).alias("reviewer_name"),
-        F.when(e % 11 != 0, (1 + e % 5).cast("double")).alias("rating"),
-        text.alias("comment_text"),
-        F.col("ts").alias("posted_ts"),
-        keys.iso_utc(F.col("ts")).alias("posted_at"),
-        F.concat(F.lit("https://x.example/"), e).alias("url"),
-        pick(COUNTRIES, e % 5).alias("country"),
-        F.lit("en").alias("language"),
-        F.timestamp_add("HOUR", F.lit(1), F.col("ts")).alias("scraped_at"),
-        F.when(e % 4 == 0, F.timestamp_add("HOUR", F.lit(2), F.col("ts"))).alias("enriched_at"),
+    parts = table(spark, sf_dir, "part").where(f"p_partkey BETWEEN 0 AND {ENTITIES - 1}")
+    made = events.join(F.broadcast(parts), F.expr("entity = p_partkey")).selectExpr(
+        "event_id",
+        f"element_at({_sql_list(lx.SOURCE_LABELS)}, int(event_id % 8 + 1)) AS source",
+        "concat('it', CASE WHEN event_id % 23 = 0 THEN event_id - 8 ELSE event_id END) AS source_item_id",
+        "string(entity) AS entity_id", "p_brand AS entity_name",
+        "CASE WHEN event_id % 17 = 0 THEN 'Unknown' WHEN event_id % 19 = 0 THEN 'india' ELSE lower(p_type) END AS category",
+        "concat('user', user_id) AS reviewer_name",
+        "CASE WHEN event_id % 11 <> 0 THEN double(1 + event_id % 5) END AS rating",
+        f"concat(element_at({_sql_list(PHRASES)}, int((event_id + floor(value)) % 10 + 1)), p_name, ' ', event_type, "
+        f"CASE WHEN event_id % 3 = 0 THEN '{SUFFIX}' ELSE '' END) AS comment_text",
+        "ts AS posted_ts",
+        "concat('https://x.example/', event_id) AS url",
+        f"element_at({_sql_list(COUNTRIES)}, int(event_id % 5 + 1)) AS country", "'en' AS language",
+        "timestampadd(HOUR, 1, ts) AS scraped_at",
+        "CASE WHEN event_id % 4 = 0 THEN timestampadd(HOUR, 2, ts) END AS enriched_at",
     )
-    fp = keys.fingerprint(*[F.col(c) for c in ("source", "source_item_id", "entity_id", "reviewer_name", "comment_text", "posted_at")])
-    return out.withColumn("fingerprint", fp)
+    fields = ("source", "source_item_id", "entity_id", "reviewer_name", "comment_text", "posted_at")
+    dated = made.withColumn("posted_at", keys.iso_utc(F.col("posted_ts")))
+    return dated.withColumn("fingerprint", keys.fingerprint(*[F.col(c) for c in fields]))
 
 
 def landed_copies(revs: DataFrame) -> DataFrame:

@@ -17,7 +17,9 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 def session(cpus: str = "8") -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cpus}]").appName("gripelode-tests")
-        .config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "12g").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "12g").config("spark.ui.enabled", "false")
+        # Call-site capture costs several JVM calls per column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
