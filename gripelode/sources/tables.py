@@ -34,11 +34,15 @@ def _sql_list(values: list[str]) -> str:
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reviews_of(table(spark, sf_dir, "events"), table(spark, sf_dir, "part"))
+
+
+def reviews_of(events: DataFrame, part: DataFrame) -> DataFrame:
     """One canonical review per event; the part it is about gives the entity."""
-    events = table(spark, sf_dir, "events").selectExpr("*", f"user_id % {ENTITIES} AS entity")
+    keyed = events.selectExpr("*", f"user_id % {ENTITIES} AS entity")
     # p_partkey is the key of part, so this side has at most ENTITIES rows at any scale.
-    parts = table(spark, sf_dir, "part").where(f"p_partkey BETWEEN 0 AND {ENTITIES - 1}")
-    made = events.join(F.broadcast(parts), F.expr("entity = p_partkey")).selectExpr(
+    parts = part.where(f"p_partkey BETWEEN 0 AND {ENTITIES - 1}")
+    made = keyed.join(F.broadcast(parts), F.expr("entity = p_partkey")).selectExpr(
         "event_id",
         f"element_at({_sql_list(lx.SOURCE_LABELS)}, int(event_id % 8 + 1)) AS source",
         "concat('it', CASE WHEN event_id % 23 = 0 THEN event_id - 8 ELSE event_id END) AS source_item_id",
