@@ -63,8 +63,9 @@ def epoch_or_millis(x: Column) -> Column:
 
 def cluster_key(domain: Column, terms: Column) -> Column:
     """Domain and the sorted distinct first three content terms."""
-    sig = F.array_join(F.array_sort(F.array_distinct(F.slice(terms, 1, 3))), "-")
-    return F.concat(F.trim(F.regexp_replace(F.lower(domain), WS + "+", " ")), F.lit("::"), F.when(sig == "", "general").otherwise(sig))
+    joined = F.array_join(F.array_sort(F.array_distinct(F.slice(terms, 1, 3))), "-")
+    sig = F.when(F.size(terms) == 0, "general").otherwise(joined)
+    return F.concat(F.trim(F.regexp_replace(F.lower(domain), WS + "+", " ")), F.lit("::"), sig)
 
 
 def key_domain(key: Column) -> Column:

@@ -15,6 +15,8 @@ from gripelode import lexicon as lx
 
 # Java's \s is ASCII; this class also covers the Unicode blanks.
 WS = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
+# The same class as single characters, for trimming.
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 # Entities decoded in the JVM; a text holding any other entity takes the Arrow path.
 COMMON_ENTITIES = {
@@ -44,7 +46,7 @@ def clean(c: Column) -> Column:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, f"^{WS}+|{WS}+$", "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def normalize(c: Column) -> Column:
@@ -91,9 +93,8 @@ def tokens(c: Column) -> Column:
 
 
 def content_terms(c: Column) -> Column:
-    # Shorter stopwords cannot occur among tokens of three or more characters.
-    stop = words([w for w in lx.STOPWORDS if len(w) > 2])
-    return F.filter(tokens(c), lambda t: ~F.array_contains(stop, t))
+    # Shorter stopwords cannot occur among tokens of three or more characters; a literal list is looked up by hash.
+    return F.filter(tokens(c), lambda t: ~t.isin([w for w in lx.STOPWORDS if len(w) > 2]))
 
 
 def contains_any(lowered: Column, values: list[str]) -> Column:

@@ -30,16 +30,24 @@ def top_rows(df: DataFrame, key: list[str], order: list[Column], limit: int, ran
 
 
 def key_reviews(reviews: DataFrame) -> DataFrame:
-    """Non-blank reviews with at least one content term, with domain tag, terms and cluster key."""
+    """Non-blank reviews with domain tag, content terms and cluster key; no terms, no key.
+
+    Rows without a key stay in: a filter on the terms would be pushed below the projection and
+    extract them twice. The grouping steps leave them out.
+    """
     category, entity = (text.clean_tag(F.col(c)) for c in ("category", "entity_name"))
+    key = keys.cluster_key(F.coalesce("tag", F.lit("General")), F.col("terms"))
     return (
         reviews.where("trim(comment_text) <> ''")
         .withColumns({"terms": text.content_terms(F.col("comment_text")), "tag": F.coalesce(category, entity)})
-        .where("size(terms) > 0")
-        .withColumn("raw_key", keys.cluster_key(F.coalesce("tag", F.lit("General")), F.col("terms")))
+        .withColumn("raw_key", F.when(F.size("terms") > 0, key))
     )
 
 
+def clusterable(keyed: DataFrame) -> DataFrame:
+    return keyed.where(F.col("raw_key").isNotNull())
+
+
 def cluster_counts(keyed: DataFrame) -> DataFrame:
     return keyed.groupBy("raw_key").agg(F.count("*").alias("n"))
 
@@ -49,7 +57,7 @@ def merge_map(counts: DataFrame, min_size: int) -> DataFrame:
 
     If nothing in the whole batch survives, every raw cluster is kept as it is.
     """
-    sized = counts.withColumn("domain", keys.key_domain(F.col("raw_key")))
+    sized = counts.where(F.col("raw_key").isNotNull()).withColumn("domain", keys.key_domain(F.col("raw_key")))
     pools = sized.where(F.col("n") < min_size).groupBy("domain").agg(
         F.sum("n").alias("pool_n"), F.count("*").alias("pool_keys")
     )

@@ -35,17 +35,17 @@ def records(spark: SparkSession, sf: str, cfg: Config = DEFAULT, generated_at=No
 
 @query("clusterable_reviews", "SELECT fingerprint, array_to_string(terms, ' ') AS terms FROM x_keyed")
 def clusterable_reviews(spark, sf):
-    return cluster.key_reviews(reviews(spark, sf)).select("fingerprint", F.array_join("terms", " ").alias("terms"))
+    return cluster.clusterable(cluster.key_reviews(reviews(spark, sf))).select("fingerprint", F.array_join("terms", " ").alias("terms"))
 
 
 @query("cluster_keys", "SELECT fingerprint, raw_key FROM x_keyed")
 def cluster_keys(spark, sf):
-    return cluster.key_reviews(reviews(spark, sf)).select("fingerprint", "raw_key")
+    return cluster.clusterable(cluster.key_reviews(reviews(spark, sf))).select("fingerprint", "raw_key")
 
 
 @query("cluster_counts", "SELECT raw_key, n FROM x_counts")
 def cluster_counts(spark, sf):
-    return cluster.cluster_counts(cluster.key_reviews(reviews(spark, sf)))
+    return cluster.cluster_counts(cluster.clusterable(cluster.key_reviews(reviews(spark, sf))))
 
 
 @query("merged_clusters", "SELECT cluster_key, count(*) AS n, count(DISTINCT raw_key) AS raw_keys FROM x_clustered GROUP BY 1")
