@@ -23,7 +23,7 @@ from gripelode.llm import common, words
 
 U = np.uint64
 START = words.mix(np.array([1], U))[0]  # context of a text's first word; never counted as a token
-RUN_TOKENS = 3_000_000
+RUN_TOKENS = 2_000_000
 PER_FILE = 4_000_000  # words or bigrams that one file holds, about
 
 
@@ -90,6 +90,23 @@ class Sorted:
             out[part] = load(self.folder, f"{self.name}-{b}.{field}", kind)[places[part] - self.first[b]]
         return out
 
+    def counts(self, places: np.ndarray) -> np.ndarray:
+        """What save_counts has written, at places as for at()."""
+        out = self.at(places, "count", np.uint8).astype(np.int64)
+        for x in np.flatnonzero(out == 255):
+            b = int(np.searchsorted(self.first, places[x], "right")) - 1
+            many = load(self.folder, f"{self.name}-{b}.many", np.int64)
+            out[x] = load(self.folder, f"{self.name}-{b}.manycount", np.int64)[np.searchsorted(many, places[x] - self.first[b])]
+        return out
+
+
+def save_counts(folder: str, name: str, counts: np.ndarray) -> None:
+    """One byte per count; those of 255 and more are in files of their own."""
+    many = np.flatnonzero(counts >= 255)
+    save(folder, f"{name}.count", np.minimum(counts, 255).astype(np.uint8))
+    save(folder, f"{name}.many", many)
+    save(folder, f"{name}.manycount", counts[many])
+
 
 def _tokens(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, int, np.ndarray, np.ndarray]]:
     """(batch, first text, hashes, bounds) of texts as words with END after each."""
@@ -189,18 +206,33 @@ def _numbers(held: list, vocabulary: Sorted) -> tuple[np.ndarray, np.ndarray, np
 
 
 def _code(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """One key for two word numbers below 2**32."""
+    """The key of two word numbers below 2**32."""
     return words.mix((first.astype(U) << U(32)) | second.astype(U))
 
 
+def squeezed(numbers: np.ndarray) -> bytes:
+    """Sorted numbers as compressed differences, byte by byte."""
+    steps = np.diff(numbers, prepend=U(0))
+    return len(steps).to_bytes(8, "little") + pa.compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes(), codec="zstd", asbytes=True)
+
+
+def unsqueezed(raw: bytes) -> np.ndarray:
+    n = int.from_bytes(raw[:8], "little")
+    planes = np.frombuffer(pa.decompress(raw[8:], decompressed_size=8 * n, codec="zstd", asbytes=True), np.uint8).reshape(8, n)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(U).ravel(), dtype=U)
+
+
 def _count_bigrams(vocabulary: Sorted, files: int) -> Callable:
     def run(batches):
         for held in _runs(batches):
             _, number, first, second, _ = _numbers(held, vocabulary)
             pairs, counts = np.unique((number[first].astype(U) << U(32)) | number[second].astype(U), return_counts=True)
-            keys = words.mix(pairs)
-            order = np.argsort(keys)
-            yield _blobs(files, keys[order], counts[order].astype(np.uint32), pairs[order])
+            file = _ranges(words.mix(pairs), files)
+            order = np.argsort(file, kind="stable")  # pairs stay sorted within a file
+            cuts = np.searchsorted(file[order], np.arange(files + 1))
+            full = np.flatnonzero(np.diff(cuts))
+            parts = [order[cuts[b] : cuts[b + 1]] for b in full]
+            yield pa.record_batch([pa.array(full, pa.int32()), pa.array([squeezed(pairs[x]) for x in parts], pa.binary()), pa.array([counts[x].astype(np.uint32).tobytes() for x in parts], pa.binary())], ["file", "a", "b"])
 
     return run
 
@@ -210,14 +242,14 @@ def _store_bigrams(folder: str, vocabulary: Sorted) -> Callable:
 
     def run(batches):
         for file, rows in _by_file(batches):
-            raw = [np.frombuffer(b"".join(r[c] for r in rows), k) for c, k in (("a", U), ("b", np.uint32), ("c", U))]
-            order = np.argsort(raw[0], kind="stable")
-            keys, pairs = raw[0][order], raw[2][order]
+            raw = np.concatenate([unsqueezed(r["a"]) for r in rows])
+            order = np.argsort(keys := words.mix(raw), kind="stable")
+            keys, pairs = keys[order], raw[order]
             begin = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-            counts = np.add.reduceat(raw[1][order].astype(np.int64), begin)
+            counts = np.add.reduceat(np.frombuffer(b"".join(r["b"] for r in rows), np.uint32)[order].astype(np.int64), begin)
             keys, pairs = keys[begin], pairs[begin]
             save(folder, f"pairs-{file}.keys", keys)
-            save(folder, f"pairs-{file}.count", np.minimum(counts, np.iinfo(np.uint32).max).astype(np.uint32))
+            save_counts(folder, f"pairs-{file}", counts)
             of_counts = [int((counts == k).sum()) for k in (1, 2, 3, 4)]
             left, right = (pairs >> U(32)).astype(np.int64), (pairs & U(0xFFFFFFFF)).astype(np.int64)
             number, back = np.unique(np.concatenate((left, right)), return_inverse=True)
@@ -234,6 +266,7 @@ def _store_bigrams(folder: str, vocabulary: Sorted) -> Callable:
     return run
 
 
+KINDS = {"count": np.int64, "begins": np.int64, "ones": np.uint32, "twos": np.uint32, "more": np.uint32, "ends": np.uint32}
 FIELDS = ("begins", "ones", "twos", "more", "ends")
 
 
@@ -247,7 +280,7 @@ def _store_statistics(folder: str, vocabulary: Sorted) -> Callable:
             number, *sums = _summed(rows, np.uint32, np.uint64, *[np.uint32] * 4)
             place = number.astype(np.int64) - vocabulary.first[file]
             for name, s in zip(FIELDS, sums):
-                dense = np.zeros(vocabulary.sizes[file], np.int64)
+                dense = np.zeros(vocabulary.sizes[file], KINDS[name])
                 dense[place] = s
                 save(folder, f"words-{file}.{name}", dense)
             ends = sums[-1]
@@ -277,14 +310,14 @@ class Model:
     def probabilities(self, held: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(probability, unigram count of each token, text bounds) of a run of texts."""
         distinct, number, first, second, bounds = _numbers(held, self.vocabulary)
-        get = lambda field: self.vocabulary.at(number, field, np.int64)
+        get = lambda field: self.vocabulary.at(number, field, KINDS[field]).astype(np.int64)
         count, begins, ends = get("count"), get("begins"), get("ends")
         lower = np.maximum(ends - self.e[np.minimum(ends, 3)], 0) / max(1, self.bigrams) + self.rest / (self.types + 1)
         kept = self.d[1] * get("ones") + self.d[2] * get("twos") + self.d[3] * get("more")
         back = np.where(begins > 0, kept / np.maximum(begins, 1), 1.0)
         known = (number[first] >= 0) & (number[second] >= 0)
         keys, at = np.unique(_code(np.where(known, number[first], 0), np.where(known, number[second], 0)), return_inverse=True)
-        together = np.where(known, self.pairs.at(self.pairs.find(keys), "count", np.uint32)[at], 0).astype(np.int64)
+        together = np.where(known, self.pairs.counts(self.pairs.find(keys))[at], 0)
         direct = np.maximum(together - self.d[np.minimum(together, 3)], 0) / np.maximum(begins[first], 1)
         return direct + back[first] * lower[second], count[second], bounds
 
@@ -305,7 +338,7 @@ def train(docs: DataFrame, text_col: str = "text", folder: str | None = None) ->
     vocabulary = Sorted(folder, "words", sizes)
     if sum(sizes) >= 1 << 32:
         raise ValueError("more than 2**32 different words")
-    dealt = _dealt(texts.mapInArrow(_count_bigrams(vocabulary, files), f"{blob}, c binary"), files)
+    dealt = _dealt(texts.mapInArrow(_count_bigrams(vocabulary, files), blob), files)
     stored = dealt.mapInArrow(_store_bigrams(folder, vocabulary), f"{blob}, c binary, d binary, e binary, f binary")
     said = _dealt(stored, files).mapInArrow(_store_statistics(folder, vocabulary), "kind string, values array<long>").collect()  # two rows per file
     pair_sizes, of_pairs, of_ends, ended, bigrams = [0] * files, np.zeros(4, np.int64), np.zeros(4, np.int64), 0, 0
