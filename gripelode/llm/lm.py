@@ -93,10 +93,12 @@ class Sorted:
     def counts(self, places: np.ndarray) -> np.ndarray:
         """What save_counts has written, at places as for at()."""
         out = self.at(places, "count", np.uint8).astype(np.int64)
-        for x in np.flatnonzero(out == 255):
-            b = int(np.searchsorted(self.first, places[x], "right")) - 1
-            many = load(self.folder, f"{self.name}-{b}.many", np.int64)
-            out[x] = load(self.folder, f"{self.name}-{b}.manycount", np.int64)[np.searchsorted(many, places[x] - self.first[b])]
+        full = np.flatnonzero(out == 255)
+        cuts = np.searchsorted(places[full], self.first)
+        for b in np.flatnonzero(np.diff(cuts)):
+            part = full[cuts[b] : cuts[b + 1]]
+            at = np.searchsorted(load(self.folder, f"{self.name}-{b}.many", np.int64), places[part] - self.first[b])
+            out[part] = load(self.folder, f"{self.name}-{b}.manycount", np.int64)[at]
         return out
 
 
@@ -368,19 +370,28 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     common.prepare(docs.sparkSession)
 
     def run(batches):
+        ids, held, total = [], [], 0
         for batch in batches:
-            held = [(h, b) for _, _, h, b in _tokens(iter([batch]), 1)]
-            if not held:
-                continue
-            p, count, bounds = model.probabilities(held)
-            sizes = np.diff(bounds)
-            base = _log_sums(np.log10((count + 0.1) / (model.tokens + 0.1 * (model.types + 1))), bounds)
-            own = _log_sums(np.log10(p), bounds)
-            known = _log_sums((count > 0).astype(np.int64), bounds)
-            yield pa.record_batch(
-                [batch.column(0), pa.array(sizes.astype(np.int64)), pa.array(known.astype(np.int64)), pa.array(np.full(len(sizes), model.tokens, np.int64)), pa.array(base), pa.array(own), pa.array(10 ** (-own / sizes))],
-                ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"],
-            )
+            ids += batch.column(0).to_pylist()
+            for _, _, hashed, bounds in _tokens(iter([batch]), 1):
+                held.append((hashed, bounds))
+                total += len(hashed)
+            if total >= RUN_TOKENS // 2:
+                yield scored(ids, held)
+                ids, held, total = [], [], 0
+        if held:
+            yield scored(ids, held)
+
+    def scored(ids, held):
+        p, count, bounds = model.probabilities(held)
+        sizes = np.diff(bounds)
+        base = _log_sums(np.log10((count + 0.1) / (model.tokens + 0.1 * (model.types + 1))), bounds)
+        own = _log_sums(np.log10(p), bounds)
+        known = _log_sums((count > 0).astype(np.int64), bounds)
+        return pa.record_batch(
+            [pa.array(ids, pa.int64()), pa.array(sizes.astype(np.int64)), pa.array(known.astype(np.int64)), pa.array(np.full(len(sizes), model.tokens, np.int64)), pa.array(base), pa.array(own), pa.array(10 ** (-own / sizes))],
+            ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"],
+        )
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double")
