@@ -6,7 +6,8 @@ intersection / union >= p/100 differ in at most D = (100 - p) / (100 + p) * (a +
 size band at least s + 1 blocks are equal, and a set with at most s empty blocks need not send them. Sets with more empty
 blocks also send blocks under another seed.
 
-Blocks held by at most COLD sets give all their pairs. Blocks held by more are worked off without pairing all members:
+Blocks held by at most COLD sets give all their pairs; a pair goes on if its blocks, with the empty and the hot ones that it
+may share, are the s + 1 that a link needs. Blocks held by more are worked off without pairing all members:
 every member is compared with one pivot of the group, and a linked pair whose members are not both linked with the pivot
 either shares a shingle that the pivot lacks (the next round's groups) or consists of sets that lost shingles of the pivot
 without gaining as many (a bound on the counts finds these). Groups that are still large after ROUNDS give all pairs, so no
@@ -106,8 +107,8 @@ def _nodes(size: int) -> Callable:
     return run
 
 
-def _flushes(batches: Iterator, size: int, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(key, node, free) of different sets, in runs of about FLUSH keys."""
+def _flushes(batches: Iterator, size: int, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(key, node and free blocks of each key, sets as rows node, size, least free) of different sets, in runs of about FLUSH keys."""
     held: dict[int, np.ndarray] = {}
     total = 0
 
@@ -116,7 +117,9 @@ def _flushes(batches: Iterator, size: int, percent: int) -> Iterator[tuple[np.nd
         nodes = np.fromiter(held, np.int64, len(held))
         parts = list(block_keys(np.concatenate(list(held.values())), sizes, percent))
         who, keys, free = (np.concatenate([p[i] for p in parts]) for i in range(3))
-        return keys, nodes[who], free
+        least = np.full(len(nodes), np.iinfo(np.int64).max)
+        np.minimum.at(least, who, free)
+        return keys, nodes[who], free, np.stack((nodes, sizes, least), 1)
 
     for _, sets in _sets(batches, size):
         for s in sets:
@@ -130,49 +133,60 @@ def _flushes(batches: Iterator, size: int, percent: int) -> Iterator[tuple[np.nd
         yield out()
 
 
+def _bucket(hashed: np.ndarray, buckets: int) -> np.ndarray:
+    return ((hashed >> U(32)) * U(buckets)) >> U(32)
+
+
 def _dealt(size: int, percent: int, buckets: int) -> Callable:
     """Rows (bucket, keys, nodes); of a key's holders in one flush at most COLD + 1 go on, which shows that it is hot."""
 
     def run(batches):
-        for keys, nodes, _ in _flushes(batches, size, percent):
+        for keys, nodes, _, each in _flushes(batches, size, percent):
             order = np.argsort(keys, kind="stable")
             keys, nodes = keys[order], nodes[order]
             first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
             rank = np.arange(len(keys)) - np.repeat(first, np.diff(np.append(first, len(keys))))
             keys, nodes = keys[rank <= COLD], nodes[rank <= COLD]
-            bucket = ((keys >> U(32)) * U(buckets)) >> U(32)  # sorted, as the keys are
-            cuts = np.searchsorted(bucket, np.arange(buckets + 1))
-            full = np.flatnonzero(np.diff(cuts))
-            yield pa.record_batch(
-                [pa.array(full, pa.int32()), pa.array([keys[cuts[b] : cuts[b + 1]].tobytes() for b in full], pa.binary()), pa.array([nodes[cuts[b] : cuts[b + 1]].tobytes() for b in full], pa.binary())],
-                ["bucket", "keys", "nodes"],
-            )
+            cuts = np.searchsorted(_bucket(keys, buckets), np.arange(buckets + 1))  # sorted, as the keys are
+            own = _bucket(each[:, 0].astype(U), buckets)
+            each, own = each[np.argsort(own, kind="stable")], np.sort(own)
+            each_cuts = np.searchsorted(own, np.arange(buckets + 1))
+            full = np.flatnonzero(np.diff(cuts) + np.diff(each_cuts))
+            parts = [[x[c[b] : c[b + 1]].tobytes() for b in full] for x, c in ((keys, cuts), (nodes, cuts), (each, each_cuts))]
+            yield pa.record_batch([pa.array(full, pa.int32()), *(pa.array(x, pa.binary()) for x in parts)], ["bucket", "keys", "nodes", "sets"])
 
     return run
 
 
+PAIR, HOT, SET = range(3)
+
+
 def _runs(batches):
-    """Rows (a, b) for the pairs of cold keys and (key, null) for hot keys."""
-    rows = [(k, n) for batch in batches for k, n in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+    """Rows (kind, a, b, n): pairs and in how many cold keys of the bucket they are, hot keys, and sets with size and free blocks."""
+    rows = [[batch.column(i).to_pylist() for i in (1, 2, 3)] for batch in batches]
     if not rows:
         return
-    keys, nodes = (np.frombuffer(b"".join(r[i] for r in rows), t) for i, t in ((0, U), (1, np.int64)))
+    keys, nodes, sets = (np.frombuffer(b"".join(x for r in rows for x in r[i]), t) for i, t in ((0, U), (1, np.int64), (2, np.int64)))
+    sets = np.unique(sets.reshape(-1, 3), axis=0)
     order = np.lexsort((nodes, keys))
     keys, nodes = keys[order], nodes[order]
-    new = np.concatenate(([True], (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])))
+    new = np.concatenate(([True], (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])))[: len(keys)]
     keys, nodes = keys[new], nodes[new]
-    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))[: len(keys)])
     n = np.diff(np.append(first, len(keys)))
-    a, b = [], []
+    a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     for k in range(2, COLD + 1):
         at = first[n == k]
         for i in range(k):
             for j in range(i + 1, k):
                 a.append(nodes[at + i])
                 b.append(nodes[at + j])
-    pairs = np.unique(np.stack((np.concatenate(a), np.concatenate(b)), 1), axis=0) if a else np.empty((0, 2), np.int64)
+    pairs, times = np.unique(np.stack((np.concatenate(a), np.concatenate(b)), 1), axis=0, return_counts=True)
     hot = keys[first[n > COLD]].astype(np.int64)
-    yield pa.record_batch([_ints(np.concatenate((pairs[:, 0], hot))), pa.array([*pairs[:, 1].tolist(), *[None] * len(hot)], pa.int64())], ["a", "b"])
+    nothing = np.zeros(len(hot), np.int64)
+    kind = np.repeat([PAIR, HOT, SET], [len(pairs), len(hot), len(sets)])
+    columns = [(pairs[:, 0], hot, sets[:, 0]), (pairs[:, 1], nothing, sets[:, 1]), (times, nothing, sets[:, 2])]
+    yield pa.record_batch([pa.array(kind, pa.int32()), *(_ints(np.concatenate(c)) for c in columns)], ["kind", "a", "b", "n"])
 
 
 def _held(size: int, percent: int, hot) -> Callable:
@@ -180,7 +194,7 @@ def _held(size: int, percent: int, hot) -> Callable:
 
     def run(batches):
         wanted = None if hot is None else np.sort(np.frombuffer(hot.value, np.int64))
-        for keys, nodes, free in _flushes(batches, size, percent):
+        for keys, nodes, free, _ in _flushes(batches, size, percent):
             keys = keys.astype(np.int64)
             if wanted is not None:
                 at = np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)
@@ -317,20 +331,26 @@ def find_links(spark: SparkSession, texts: DataFrame, rows: DataFrame, size: int
     """Links (a, b) between different shingle sets that connect all linked sets."""
     total = rows.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = max(common.partitions(spark), total // PER_BUCKET + 1)
-    dealt = texts.mapInArrow(_dealt(size, percent, buckets), "bucket int, keys binary, nodes binary").repartition(buckets, "bucket")
-    found = common.stage(dealt.mapInArrow(_runs, "a long, b long"), "pairs")
-    hot = found.where("b is null").select(F.col("a").alias("key")).distinct()
-    pairs = found.where("b is not null").distinct()
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    links = common.stage(_verified(pairs, set_bytes(texts, rows, wanted, size), percent), "links")
+    dealt = texts.mapInArrow(_dealt(size, percent, buckets), "bucket int, keys binary, nodes binary, sets binary").repartition(buckets, "bucket")
+    found = common.stage(dealt.mapInArrow(_runs, "kind int, a long, b long, n long"), "pairs")
+    hot = found.where(F.col("kind") == HOT).select(F.col("a").alias("key")).distinct()
     n_hot = hot.limit(HOT_KEYS + 1).count()
-    if not n_hot:
-        return links
     some = None
     if n_hot <= HOT_KEYS:
         some = spark.sparkContext.broadcast(np.array([r[0] for r in hot.collect()], np.int64).tobytes())
-    held = texts.mapInArrow(_held(size, percent, some), "key long, node long, free long")
+    empty = spark.createDataFrame([], "key long, node long, free long")
+    held = texts.mapInArrow(_held(size, percent, some), "key long, node long, free long") if n_hot else empty
     held = common.stage((held if some else held.join(hot, "key", "left_semi")).distinct(), "held")
+    # Linked sets have s + 1 blocks in common: all but the empty ones and the hot ones show among the cold keys.
+    sets = found.where(F.col("kind") == SET).select(F.col("a").alias("node"), F.col("b").alias("size"), F.col("n").alias("free")).distinct()
+    sets = sets.join(held.groupBy("node").agg(F.count(F.lit(1)).alias("hot")), "node", "left").select("node", F.struct("size", "free", F.coalesce("hot", F.lit(0)).alias("hot")).alias("about"))
+    sets = common.stage(sets, "sizes")
+    pairs = found.where(F.col("kind") == PAIR).groupBy("a", "b").agg(F.sum("n").alias("n"))
+    pairs = pairs.join(sets.withColumnsRenamed({"node": "a", "about": "x"}), "a").join(sets.withColumnsRenamed({"node": "b", "about": "y"}), "b")
+    pairs = pairs.where(F.least("x.size", "y.size") * 100 >= F.greatest("x.size", "y.size") * percent).where(F.col("n") + F.least("x.hot", "y.hot") > F.greatest("x.free", "y.free"))
+    pairs = common.stage(pairs.select("a", "b"), "candidates")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    links = common.stage(_verified(pairs, set_bytes(texts, rows, wanted, size), percent), "links")
     per_node = held.groupBy("node").agg(F.count(F.lit(1)).alias("weight"), F.min("free").alias("free"))
     unsafe = per_node.where("free < 0 or weight > free").select("node", "weight")
     held = common.stage(held.join(unsafe, "node").select("key", "node", "weight"), "held")
