@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from gripelode.llm import common, words
 
 COLD, ROUNDS, SEEDS = 16, 5, 3
-FLUSH = 1_500_000  # block keys that a task holds before it hands them on
-PER_BUCKET = 2_500_000
+FLUSH = 700_000  # block keys that a task holds before it hands them on
+PER_BUCKET = 1_000_000
 HOT_KEYS = 1_000_000  # hot keys that are broadcast; with more, the keys of all sets are shuffled
 U = np.uint64
 
