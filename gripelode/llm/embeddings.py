@@ -93,8 +93,8 @@ def _tile_pair(threshold: float):
                 counts["node"].append(nodes[x])
                 counts["other"].append(nodes[y])
                 counts["links"].append(0)
-        out = pd.DataFrame(counts)
-        return out.astype({"node": "int64", "other": "Int64", "links": "int64"})
+        # Built with their types: pandas makes numbers beside None floating, which loses digits.
+        return pd.DataFrame({k: pd.array(v, "Int64") for k, v in counts.items()})
 
     return run
 
