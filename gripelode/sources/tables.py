@@ -18,7 +18,6 @@ PHRASES = [
 ]
 SUFFIX = ". The whole team reports it every week and nobody answers the ticket."
 COUNTRIES = ["US", "GB", "CA", "AU", "IN"]
-ENTITIES = 200
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,10 +38,9 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reviews_of(events: DataFrame, part: DataFrame) -> DataFrame:
     """One canonical review per event; the part it is about gives the entity."""
-    keyed = events.selectExpr("*", f"user_id % {ENTITIES} AS entity")
-    # p_partkey is the key of part, so this side has at most ENTITIES rows at any scale.
-    parts = part.where(f"p_partkey BETWEEN 0 AND {ENTITIES - 1}")
-    made = keyed.join(F.broadcast(parts), F.expr("entity = p_partkey")).selectExpr(
+    # p_partkey numbers the parts from 0, so every part can be an entity, and there are more of them as the tables grow.
+    keyed = events.withColumn("entity", F.col("user_id") % part.agg(F.count(F.lit(1))).scalar())
+    made = keyed.join(part, F.expr("entity = p_partkey")).selectExpr(
         "event_id",
         f"element_at({_sql_list(lx.SOURCE_LABELS)}, int(event_id % 8 + 1)) AS source",
         "concat('it', CASE WHEN event_id % 23 = 0 THEN event_id - 8 ELSE event_id END) AS source_item_id",
