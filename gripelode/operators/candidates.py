@@ -147,9 +147,11 @@ def remap_support(pool: Column, ids: Column, cfg: Config = DEFAULT) -> Column:
 def apply_responses(described: DataFrame, responses: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """Merge model responses (cluster_id, response) into described clusters that carry narratives.
 
-    Clusters without a usable response keep their template values.
+    Clusters without a usable response keep their template values. Of several responses for one cluster the greatest
+    text counts, which puts bare JSON before prose.
     """
-    parsed = responses.withColumn("payload", text.lenient_json(F.col("response"))).select("cluster_id", "payload")
+    single = responses.groupBy("cluster_id").agg(F.max("response").alias("response"))
+    parsed = single.withColumn("payload", text.lenient_json(F.col("response"))).select("cluster_id", "payload")
     joined = described.join(parsed, "cluster_id", "left")
     payload = F.col("payload")
     # An empty object counts as no response.

@@ -61,22 +61,23 @@ def merge_map(counts: DataFrame, min_size: int) -> DataFrame:
     pools = sized.where(F.col("n") < min_size).groupBy("domain").agg(
         F.sum("n").alias("pool_n"), F.count("*").alias("pool_keys")
     )
-    # The number of raw keys behind a pool, not of rows, decides how hot the domain is here.
-    out = attach_totals(sized, pools, "domain", "pool_keys", ["raw_key"])
     pooled = F.coalesce(F.col("pool_n") >= min_size, F.lit(False))
     pool_key = F.concat("domain", F.lit("::merged"))
-    out = out.withColumn(
-        "merged_key",
-        F.when(F.col("n") < min_size, F.when(pooled, pool_key))
-        # A pool takes the place of a cluster that happens to carry its name.
-        .when(~(pooled & (F.col("raw_key") == pool_key)), F.col("raw_key")),
-    )
+    # A pool takes the place of a cluster that happens to carry its name; all other large clusters need no lookup.
+    asks = (F.col("n") < min_size) | (F.col("raw_key") == pool_key)
+    # The number of raw keys behind a pool, not of rows, decides how hot the domain is here.
+    found = attach_totals(sized.where(asks), pools, "domain", "pool_keys", ["raw_key"])
+    found = found.withColumn("merged_key", F.when(F.col("n") < min_size, F.when(pooled, pool_key)).when(~pooled, F.col("raw_key")))
+    large = sized.where(~asks).withColumn("merged_key", F.col("raw_key"))
+    out = found.select("raw_key", "n", "merged_key").unionByName(large.select("raw_key", "n", "merged_key"))
     kept = out.agg(F.count("merged_key")).scalar()
     return out.select("raw_key", "n", F.when(kept == 0, F.col("raw_key")).otherwise(F.col("merged_key")).alias("cluster_key"))
 
 
 def merge_small_clusters(keyed: DataFrame, min_size: int) -> DataFrame:
     """Reviews with their final cluster key; rows of dropped pools are left out."""
+    # Staged, every text is taken apart once for both the counts and the rows.
+    keyed = stage(keyed, "keyed")
     counts = stage(cluster_counts(keyed), "cluster_counts")
     # Staged, the map has a known size, so Spark broadcasts it when it is small enough.
     mapping = stage(merge_map(counts, min_size), "cluster_map")

@@ -35,28 +35,22 @@ def canonical(df: DataFrame, scraped_at: Column) -> DataFrame:
 
 
 def newest_per_fingerprint(df: DataFrame, seq: str = "ingest_seq") -> DataFrame:
-    """The latest crawl of every fingerprint; ``seq`` breaks ties.
-
-    A partial aggregate instead of a window: each task keeps one row per fingerprint, so a
-    review that was crawled very often is no hot group.
-    """
-    rest = [c for c in df.columns if c not in ("fingerprint", "scraped_at", seq)]
-    newest = F.max(F.struct("scraped_at", seq, F.struct(*rest).alias("rest")))
-    picked = df.groupBy("fingerprint").agg(newest.alias("row"))
-    return picked.select("fingerprint", "row.scraped_at", f"row.{seq}", "row.rest.*").select(*df.columns)
+    """The latest crawl of every fingerprint; ``seq`` breaks ties."""
+    return _one_per_fingerprint(df, [F.col("scraped_at").desc(), F.col(seq).desc()])
 
 
 def first_per_fingerprint(df: DataFrame, order: list[str]) -> DataFrame:
-    rest = [c for c in df.columns if c != "fingerprint" and c not in order]
-    first = F.min(F.struct(*order, F.struct(*rest).alias("rest")))
-    picked = df.groupBy("fingerprint").agg(first.alias("row"))
-    return picked.select("fingerprint", *[f"row.{c}" for c in order], "row.rest.*").select(*df.columns)
+    return _one_per_fingerprint(df, [F.col(c).asc() for c in order])
+
+
+def _one_per_fingerprint(df: DataFrame, order: list[Column]) -> DataFrame:
+    """Spark applies the limit of one before the shuffle too, so a review that was crawled very often is no hot group."""
+    return cap_per_seed(df, ["fingerprint"], order, 1).select(*df.columns)
 
 
 def insert_if_new(incoming: DataFrame, existing: DataFrame, order: list[str]) -> DataFrame:
     """Incoming rows whose fingerprint is new; of several equal ones the first by ``order``."""
-    known = existing.select("fingerprint").distinct()
-    return first_per_fingerprint(incoming, order).join(known, "fingerprint", "left_anti")
+    return first_per_fingerprint(incoming, order).join(existing.select("fingerprint"), "fingerprint", "left_anti")
 
 
 def duplicate_report(df: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
+_local: dict[str, str] = {}
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -22,12 +23,14 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a local one only where none is configured, as in tests."""
+    """The folder in spark.checkpoint.dir; where it is unset, a temporary one, in local mode only."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="gripelode-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    return configured.rstrip("/")
+    if configured:
+        return configured.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local[") and context.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return _local.setdefault(context.applicationId, tempfile.mkdtemp(prefix="gripelode-"))
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -209,24 +209,28 @@ def dataset_items(payloads: DataFrame) -> DataFrame:
 
 @F.pandas_udf(ArrayType(StructType().add("pos", IntegerType()).add("depth", IntegerType()).add("object", StringType())))
 def _objects(bodies):
-    """All JSON objects of each body, parents first, the last child before its siblings."""
+    """All JSON objects of each body, parents first, the last child before its siblings.
+
+    A body that is no JSON, or nested deeper than the parser reads, has none.
+    """
     import json
 
-    def visit(node, depth):
-        if isinstance(node, dict):
-            yield depth, node
-        children = list(node.values()) if isinstance(node, dict) else node
-        for child in reversed(children):
-            if isinstance(child, (dict, list)):
-                yield from visit(child, depth + 1)
+    def walk(root):
+        waiting = [(0, root)]
+        while waiting:
+            depth, node = waiting.pop()
+            if isinstance(node, dict):
+                yield depth, node
+            if isinstance(node, (dict, list)):
+                children = node.values() if isinstance(node, dict) else node
+                waiting.extend((depth + 1, child) for child in children)
 
     def read(body):
         try:
-            root = json.loads(body)
-        except (TypeError, ValueError):
+            nodes = enumerate(walk(json.loads(body)))
+            return [{"pos": i, "depth": d, "object": json.dumps(o, ensure_ascii=False)} for i, (d, o) in nodes]
+        except (TypeError, ValueError, RecursionError):
             return []
-        nodes = visit(root, 0) if isinstance(root, (dict, list)) else ()
-        return [{"pos": i, "depth": d, "object": json.dumps(o, ensure_ascii=False)} for i, (d, o) in enumerate(nodes)]
 
     return bodies.map(read)
 
@@ -288,7 +292,8 @@ def job_page_chunks(pages: DataFrame, limit: int, compat: bool = False) -> DataF
     body = text.clean(F.col("body")) if compat else F.col("body")
     open_pages = pages.where(~gates.blocked(F.col("body")))
     found = open_pages.select("query", F.posexplode(text.blocks(body)).alias("pos", "chunk")).where(gates.job_chunk(F.col("chunk")))
-    return top_rows(found, ["query"], [F.col("pos").asc()], limit, "item_rank").select(
+    # Blocks at the same place of two pages of one query follow their text.
+    return top_rows(found, ["query"], [F.col("pos").asc(), F.col("chunk").asc()], limit, "item_rank").select(
         "query", "item_rank", F.concat(F.lit("Upwork market signal: "), "query").alias("title"), F.substring("chunk", 1, 2000).alias("description"),
         _url(JOB_SEARCH, F.col("query")).alias("link"), _chunk_id("upwork-jina").alias("guid"), F.lit("").alias("pubDate"), F.lit("jina_proxy").alias("provider"),
     )
