@@ -252,6 +252,13 @@ def _labelled(members: DataFrame, roots: DataFrame) -> DataFrame:
     return members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
+def _connects(links: DataFrame, roots: DataFrame) -> bool:
+    """Whether a link is between different components."""
+    sides = links.join(roots.select(F.col("node").alias("a"), F.col("root").alias("_x")), "a", "left")
+    sides = sides.join(roots.select(F.col("node").alias("b"), F.col("root").alias("_y")), "b", "left")
+    return not sides.where(F.coalesce("_x", "a") != F.coalesce("_y", "b")).isEmpty()
+
+
 def _pairs(members: DataFrame) -> DataFrame:
     """Pairs of a probing member and any member of its group that are not known to be connected."""
     left = members.where("probe").select("gid", F.col("node").alias("_u"), F.col("root").alias("_ru"))
@@ -290,15 +297,23 @@ def _sharing(shown: DataFrame, percent: int) -> DataFrame:
 
 def _hot_links(members: DataFrame, links: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links found in large groups, and those given; members: gid, node, weight (the largest is the pivot)."""
+    roots = None
     for step in range(ROUNDS):
         pivots = members.groupBy("gid").agg(F.max_by("node", F.struct("weight", "node")).alias("pivot"))
         against = members.join(pivots, "gid").where("node <> pivot").select("pivot", "node").distinct()
         shown = against.join(sets.select(F.col("node").alias("pivot"), F.col("shingles").alias("p")), "pivot").join(sets.select("node", F.col("shingles").alias("u")), "node")
         shown = shown.select("pivot", "node", "p", "u").mapInArrow(_against_pivot(percent), "pivot long, node long, far long, lost long, own array<long>")
         shown = common.stage(shown.withColumn("linked", F.col("far") <= 0), f"pivot{step}")
-        links = common.stage(links.unionByName(shown.where("linked").select(F.col("pivot").alias("a"), F.col("node").alias("b"))), "links")
-        cold, hot = _split(_labelled(_sharing(shown, percent), common.components(links)))
-        links = common.stage(links.unionByName(_verified(_pairs(cold).distinct(), sets, percent)), "links")
+        linked = shown.where("linked").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+        links = links.unionByName(linked)
+        if roots is None or _connects(linked, roots):
+            roots = common.stage(common.components(links), "roots")
+        groups = common.stage(_labelled(_sharing(shown, percent), roots), f"sharing{step}")
+        cold, hot = _split(groups)
+        found = common.stage(_verified(_pairs(cold).distinct(), sets, percent), "links")
+        links = links.unionByName(found)
+        if _connects(found, roots):
+            roots = None
         members = common.stage(hot, f"groups{step}")
         if members.isEmpty():
             return links
