@@ -169,3 +169,11 @@ def test_stream_ingest_over_split_files_equals_batch(spark, tmp_path):
     got = jobs.read_batches(spark, str(tmp_path / "table"), schema)
     assert sorted(r.fingerprint for r in got.collect()) == sorted({r[0] for r in data})
     assert {r.batch_id for r in got.collect()} <= {0, 1, 2}
+
+
+def test_json_walk_survives_broken_and_deep_bodies(spark):
+    bodies = [("ok", '{"a": [{"b": 1}, {"c": {}}]}'), ("broken", "{"), ("deep", "[" * 20_000 + "]" * 20_000), ("none", None)]
+    found = payloads.json_objects(spark.createDataFrame(bodies, "name string, body string")).orderBy("name", "pos").collect()
+    assert [(r.name, r.pos, r.depth, r.object) for r in found] == [
+        ("ok", 0, 0, '{"a": [{"b": 1}, {"c": {}}]}'), ("ok", 1, 2, '{"c": {}}'), ("ok", 2, 3, "{}"), ("ok", 3, 2, '{"b": 1}'),
+    ]
