@@ -54,23 +54,40 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
     """(node, root) of every node in links (a, b): root is the smallest node reachable.
 
     Alternates large-star and small-star steps, whose rows never exceed the links; a node with very many links is only
-    ever a grouping key of a partial minimum. Each round is staged, and the loop ends when a round changes nothing.
+    ever a grouping key of a partial minimum. Each round is staged, and the loop ends when a round changes nothing. While
+    the links are few enough, which is counted, the minima are broadcast and the links themselves stay where they are.
     """
     pair = lambda x, y: F.struct(F.col(x).alias("u"), F.col(y).alias("v"))
     edges = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
-    edges, before = stage(edges, name), None
+    edges = stage(edges, name)
+    before = (edges.count(), None)
     while True:
+        few = 2 * before[0] <= BROADCAST_ROWS  # each link has two nodes
         both = edges.select(F.explode(F.array(pair("a", "b"), pair("b", "a"))).alias("e")).select("e.*")
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-        large = large.where("a <> b").distinct()
+        large = both.join(F.broadcast(low) if few else low, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+        large = large.where("a <> b") if few else large.where("a <> b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        joined = large.join(low, "a")
+        joined = large.join(F.broadcast(low) if few else low, "a")
         star = joined.select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
         edges = stage(star.where("a <> b").distinct(), name)
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == before:
             break
         before = now
     roots = edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root"))
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
+
+
+def joined_roots(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Roots (node, root) with further links (a, b): only links between different components are worked on, as links of roots."""
+    sides = links.join(roots.select(F.col("node").alias("a"), F.col("root").alias("_x")), "a", "left")
+    sides = sides.join(roots.select(F.col("node").alias("b"), F.col("root").alias("_y")), "b", "left")
+    ends = sides.select(F.coalesce("_x", "a").alias("a"), F.coalesce("_y", "b").alias("b")).where("a <> b").distinct()
+    ends = stage(ends, "ends")
+    if ends.isEmpty():
+        return roots
+    moved = stage(components(ends), "moved")
+    kept = roots.join(moved.select(F.col("node").alias("root"), F.col("root").alias("_to")), "root", "left")
+    kept = kept.select("node", F.coalesce("_to", "root").alias("root"))
+    return stage(kept.unionByName(moved.join(roots, "node", "left_anti")), "roots")

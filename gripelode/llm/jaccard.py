@@ -10,8 +10,9 @@ Blocks held by at most COLD sets give all their pairs; a pair goes on if its blo
 may share, are the s + 1 that a link needs. Blocks held by more are worked off without pairing all members:
 every member is compared with one pivot of the group, and a linked pair whose members are not both linked with the pivot
 either shares a shingle that the pivot lacks (the next round's groups) or consists of sets that lost shingles of the pivot
-without gaining as many (a bound on the counts finds these). Groups that are still large after ROUNDS give all pairs, so no
-link is lost. A set with at most s empty or hot blocks leaves its hot blocks, since any link of it shows in another block.
+without gaining as many (a bound on the counts finds these). Once the pairs of all large groups are no more than PAIRED per
+member, or after ROUNDS, the groups give all their pairs, so no link is lost. A set with at most s empty or hot blocks leaves
+its hot blocks, since any link of it shows in another block.
 All candidate pairs are verified on the full sets.
 """
 
@@ -26,7 +27,8 @@ from pyspark.sql import functions as F
 
 from gripelode.llm import common, words
 
-COLD, ROUNDS, SEEDS = 16, 5, 3
+COLD, ROUNDS, SEEDS, FAMILY_STEPS = 16, 5, 3, 2
+PAIRED = 16  # probing members of a group that gives its pairs at once
 FLUSH = 700_000  # block keys that a task holds before it hands them on
 PER_BUCKET = 1_000_000
 HOT_KEYS = 1_000_000  # hot keys that are broadcast; with more, the keys of all sets are shuffled
@@ -252,13 +254,6 @@ def _labelled(members: DataFrame, roots: DataFrame) -> DataFrame:
     return members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def _connects(links: DataFrame, roots: DataFrame) -> bool:
-    """Whether a link is between different components."""
-    sides = links.join(roots.select(F.col("node").alias("a"), F.col("root").alias("_x")), "a", "left")
-    sides = sides.join(roots.select(F.col("node").alias("b"), F.col("root").alias("_y")), "b", "left")
-    return not sides.where(F.coalesce("_x", "a") != F.coalesce("_y", "b")).isEmpty()
-
-
 def _pairs(members: DataFrame) -> DataFrame:
     """Pairs of a probing member and any member of its group that are not known to be connected."""
     left = members.where("probe").select("gid", F.col("node").alias("_u"), F.col("root").alias("_ru"))
@@ -266,11 +261,10 @@ def _pairs(members: DataFrame) -> DataFrame:
     return left.join(right, "gid").where("_ru <> _rv").select(F.least("_u", "_v").alias("a"), F.greatest("_u", "_v").alias("b"))
 
 
-def _split(members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members of the groups whose sets are not yet all connected, with at most COLD probing members and with more."""
-    size = members.groupBy("gid").agg(F.count_if("probe").alias("n"), F.min("root").alias("_x"), F.max("root").alias("_y")).where("n > 0 and _x <> _y")
-    rows = members.join(size.select("gid", "n"), "gid")
-    return rows.where(F.col("n") <= COLD).drop("n"), rows.where(F.col("n") > COLD).drop("n")
+def _sizes(members: DataFrame) -> DataFrame:
+    """(gid, n, pairs) of the groups whose sets are not yet all connected; n: probing members."""
+    size = members.groupBy("gid").agg(F.count_if("probe").alias("n"), F.count(F.lit(1)).alias("_k"), F.min("root").alias("_x"), F.max("root").alias("_y"))
+    return size.where("n > 0 and _x <> _y").select("gid", "n", (F.col("n") * F.col("_k")).alias("pairs"))
 
 
 def _sharing(shown: DataFrame, percent: int) -> DataFrame:
@@ -295,9 +289,23 @@ def _sharing(shown: DataFrame, percent: int) -> DataFrame:
     return near.unionByName(own.select(F.xxhash64("pivot", "s").alias("gid"), "node", weight, probe.alias("probe")))
 
 
-def _hot_links(members: DataFrame, links: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links found in large groups, and those given; members: gid, node, weight (the largest is the pivot)."""
-    roots = None
+def _families(held: DataFrame) -> DataFrame:
+    """Groups (gid, node, weight, probe) in which any two holders of one hot key meet; held: key, node, weight.
+
+    A key's group is the smallest key that it reaches in FAMILY_STEPS steps over common holders, so that keys held by much
+    the same sets share a group and a pivot; keys that need more steps stay in groups of their own.
+    """
+    labels = held.withColumn("gid", F.col("key"))
+    for _ in range(FAMILY_STEPS):
+        per_node = labels.groupBy("node").agg(F.min("gid").alias("gid"))
+        per_key = held.join(per_node, "node").groupBy("key").agg(F.min("gid").alias("gid"))
+        labels = held.join(common.small(common.stage(per_key, "families")), "key")
+    return labels.select("gid", "node", "weight", F.lit(True).alias("probe")).distinct()
+
+
+def _hot_roots(members: DataFrame, links: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Components (node, root) of the links in large groups and those given; members: gid, node, weight (the largest is the pivot)."""
+    roots, few = None, PAIRED * members.count()
     for step in range(ROUNDS):
         pivots = members.groupBy("gid").agg(F.max_by("node", F.struct("weight", "node")).alias("pivot"))
         against = members.join(pivots, "gid").where("node <> pivot").select("pivot", "node").distinct()
@@ -305,19 +313,18 @@ def _hot_links(members: DataFrame, links: DataFrame, sets: DataFrame, percent: i
         shown = shown.select("pivot", "node", "p", "u").mapInArrow(_against_pivot(percent), "pivot long, node long, far long, lost long, own array<long>")
         shown = common.stage(shown.withColumn("linked", F.col("far") <= 0), f"pivot{step}")
         linked = shown.where("linked").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-        links = links.unionByName(linked)
-        if roots is None or _connects(linked, roots):
-            roots = common.stage(common.components(links), "roots")
+        roots = common.joined_roots(roots, linked) if step else common.stage(common.components(links.unionByName(linked)), "roots")
         groups = common.stage(_labelled(_sharing(shown, percent), roots), f"sharing{step}")
-        cold, hot = _split(groups)
+        sizes = common.stage(_sizes(groups), f"sizes{step}")
+        hot = F.col("n") > PAIRED
+        pending = sizes.agg(F.sum(F.when(hot, F.col("pairs")))).first()[0] or 0
+        last = pending <= few or step == ROUNDS - 1
+        cold = groups.join(sizes.where(F.lit(last) | ~hot).select("gid"), "gid")
         found = common.stage(_verified(_pairs(cold).distinct(), sets, percent), "links")
-        links = links.unionByName(found)
-        if _connects(found, roots):
-            roots = None
-        members = common.stage(hot, f"groups{step}")
-        if members.isEmpty():
-            return links
-    return links.unionByName(_verified(_pairs(members).distinct(), sets, percent))
+        roots = common.joined_roots(roots, found)
+        if last:
+            return roots
+        members = common.stage(groups.join(sizes.where(hot).select("gid"), "gid"), f"groups{step}")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
@@ -332,8 +339,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", siz
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = common.stage(texts.mapInArrow(_nodes(size), "doc_id long, n_shingles long, node long"), "sets")
     nodes = rows.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n_copies"))
-    links = find_links(spark, texts, rows, size, percent)
-    roots = common.components(links)
+    roots = find_roots(spark, texts, rows, size, percent)
     found = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     found = common.stage(found, "classes")
     smallest = found.groupBy("root").agg(F.min("first").alias("component_id"))
@@ -342,8 +348,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", siz
     return linked.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_copies", F.lit(1)).alias("n_copies"))
 
 
-def find_links(spark: SparkSession, texts: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links (a, b) between different shingle sets that connect all linked sets."""
+def find_roots(spark: SparkSession, texts: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
+    """(node, root) of all shingle sets that link with another one: root is the smallest node reachable."""
     total = rows.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = max(common.partitions(spark), total // PER_BUCKET + 1)
     dealt = texts.mapInArrow(_dealt(size, percent, buckets), "bucket int, keys binary, nodes binary, sets binary").repartition(buckets, "bucket")
@@ -370,13 +376,10 @@ def find_links(spark: SparkSession, texts: DataFrame, rows: DataFrame, size: int
     unsafe = per_node.where("free < 0 or weight > free").select("node", "weight")
     held = common.stage(held.join(unsafe, "node").select("key", "node", "weight"), "held")
     if held.isEmpty():
-        return links
-    # All groups that share members form one family with one pivot; a pair of a hot key is in one family.
-    families = common.components(held.select(F.col("key").alias("a"), F.col("node").alias("b")))
-    members = held.join(families, "node").select(F.col("root").alias("gid"), "node", "weight", F.lit(True).alias("probe")).distinct()
-    members = common.stage(members, "members")
+        return common.components(links)
+    members = common.stage(_families(held), "members")
     sets = set_bytes(texts, rows, members.select("node").distinct(), size)
-    return _hot_links(members, links, sets, percent)
+    return _hot_roots(members, links, sets, percent)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

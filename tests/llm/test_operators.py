@@ -40,7 +40,9 @@ def smallest_reachable(nodes, links):
     return {n: find(n) for n in nodes}
 
 
-def test_components(spark):
+@pytest.mark.parametrize("broadcast_rows", [0, common.BROADCAST_ROWS])
+def test_components(spark, monkeypatch, broadcast_rows):
+    monkeypatch.setattr(common, "BROADCAST_ROWS", broadcast_rows)
     rng = random.Random(3)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(1000, k) for k in range(1001, 1200)] + [(i, i + 1) for i in range(2000, 2040)]
     nodes = {x for pair in links if pair[0] != pair[1] for x in pair}
@@ -49,6 +51,18 @@ def test_components(spark):
     assert found == expected
 
 
+def test_further_links_join_components(spark):
+    rng = random.Random(5)
+    links = [(rng.randrange(200), rng.randrange(200)) for _ in range(90)]
+    further = [(rng.randrange(260), rng.randrange(260)) for _ in range(60)] + [links[0], (300, 301), (7, 7)]
+    both = [p for p in links + further if p[0] != p[1]]
+    roots = common.components(spark.createDataFrame(links, "a long, b long"))
+    found = common.joined_roots(roots, spark.createDataFrame(further, "a long, b long")).collect()
+    assert len(found) == len({r["node"] for r in found})
+    assert {r["node"]: r["root"] for r in found} == smallest_reachable({x for p in both for x in p}, both)
+    assert common.joined_roots(roots, spark.createDataFrame(links, "a long, b long")) is roots
+
+
 def family(rng, n, changes, size=120):
     base = [f"w{rng.randrange(10**6)}" for _ in range(size)]
     out = []
@@ -60,7 +74,9 @@ def family(rng, n, changes, size=120):
     return out
 
 
-def test_jaccard_equals_brute_force(docs):
+@pytest.mark.parametrize("paired", [0, jaccard.PAIRED])  # with 0 no group gives its pairs before the last round
+def test_jaccard_equals_brute_force(docs, monkeypatch, paired):
+    monkeypatch.setattr(jaccard, "PAIRED", paired)
     rng = random.Random(1)
     texts = family(rng, 90, 4) + family(rng, 60, 30) + family(rng, 25, 3, 9) + family(rng, 12, 2, 6)
     texts += [" ".join(f"w{rng.randrange(40)}" for _ in range(rng.randrange(1, 9))) for _ in range(60)]
