@@ -1,10 +1,12 @@
-"""Benchmark decontamination with SimHash fingerprints of item-sized windows.
+"""Benchmark decontamination with anchors: the rarest word shingles of every item.
 
-Item lengths fall into classes of window sizes. For the first and the last words of every item, and for every window of the
-class's size in every document, a 64-bit SimHash of the words is made; the counters of all windows come from running sums.
-Fingerprints within RADIUS bits differ in at most RADIUS // 4 bits in one of four blocks of 16 bits: a table of all block
-values that near an item's block finds every such window. Runs of windows that pass are candidates, and the exact weighted
-Jaccard similarity of word shingles between the item and the passage around the window decides.
+A passage that is alike shares at least ``percent`` of the weight of the item's shingles, so it holds one of any set of
+shingles that weighs more than the rest: each item's rarest shingles, as many as that takes, are its anchors. Every document
+that holds an anchor is compared with the item, and the best passage by exact weighted Jaccard similarity of word shingles
+decides, so no passage is lost, wherever and however it was changed.
+
+``fingerprints`` and ``near_prints`` compare windows by SimHash; the search does not use them, since a passage that is alike
+may be further than any fixed radius.
 """
 
 from __future__ import annotations
@@ -18,16 +20,15 @@ from pyspark.sql import functions as F
 
 from gripelode.llm import common, words
 
-RADIUS = 7
-BLOCKS = 4
-STEP = 1.6  # sizes of neighbouring classes
+RADIUS = 7  # bits, of near_prints
 #: Words of all items together that are sent to the executors; larger benchmarks are searched in such parts.
 PART_WORDS = 2_000_000
 U = np.uint64
+EPSILON = 1e-9  # sums of weights are compared up to it
 
 
 class Items:
-    """The fingerprints, block tables and shingle weights of a benchmark."""
+    """The shingles, their weights and the anchors of a benchmark."""
 
     def __init__(self, ids: list[int], texts: list[str], size: int, percent: int):
         self.size, self.percent, self.ids, self.hashes = size, percent, [], []
@@ -36,56 +37,74 @@ class Items:
                 if b > a:
                     self.ids.append(ids[first + i])
                     self.hashes.append(hashed[a:b])
-        held = [np.unique(self.shingles(h)) for h in self.hashes]
-        values, counts = np.unique(np.concatenate(held), return_counts=True) if held else (np.empty(0, U), np.empty(0))
-        self.known, self.weight = values, 1 / counts  # a shingle of many items says less about each
-        self.classes = {}
-        for k, h in enumerate(self.hashes):
-            self.classes.setdefault(window_size(len(h)), []).append(k)
-        self.prints, self.owner, self.tables = {}, {}, {}
-        for w, members in self.classes.items():
-            ends = [(k, at) for k in members for at in sorted({0, len(self.hashes[k]) - w})]
-            self.prints[w] = np.concatenate([fingerprints(self.hashes[k][at : at + w], [w])[w] for k, at in ends])
-            self.owner[w] = ends
-            self.tables[w] = [near_values((self.prints[w] >> U(16 * b)) & U(0xFFFF), RADIUS // BLOCKS) for b in range(BLOCKS)]
+        held = [np.unique(self.shingles(h), return_counts=True) for h in self.hashes]
+        known, counts = np.unique(np.concatenate([h[0] for h in held]), return_counts=True) if held else (np.empty(0, U), np.empty(0))
+        #: For each item its distinct shingles, how often it holds each, and their weights; a shingle of many items says less about each.
+        self.own = [(values, times, 1 / counts[np.searchsorted(known, values)]) for values, times in held]
+        self.other = [1.0] * len(held)  # weight of a shingle that the item does not hold
+        self.anchors = self._anchors()
+
+    def _anchors(self) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """For each length of shingles: (maybe, values, first, item), where ``item[first[i]:first[i + 1]]`` have ``values[i]`` as an
+        anchor, and a value whose low bits are not set in ``maybe`` is none."""
+        found: dict[int, list[tuple[np.ndarray, int]]] = {}
+        for k, (values, times, weight) in enumerate(self.own):
+            order = np.argsort(-weight, kind="stable")
+            reached = np.cumsum((times * weight)[order])
+            n = np.searchsorted(reached, reached[-1] * (100 - self.percent) / 100 + EPSILON, "right") + 1
+            found.setdefault(min(self.size, len(self.hashes[k])), []).append((values[order[:n]], k))
+        out = {}
+        for size, of in found.items():
+            value = np.concatenate([v for v, _ in of])
+            order = np.argsort(value, kind="stable")
+            values, first = np.unique(value[order], return_index=True)
+            maybe = np.zeros(1 << max(16, (8 * len(values)).bit_length()), bool)
+            maybe[values & U(len(maybe) - 1)] = True
+            out[size] = maybe, values, np.append(first, len(value)), np.repeat([k for _, k in of], [len(v) for v, _ in of])[order]
+        return out
 
     def shingles(self, hashed: np.ndarray) -> np.ndarray:
         return words.shingle_hashes(hashed, min(self.size, len(hashed)))
 
-    def weights(self, shingles: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(self.known, shingles), len(self.known) - 1)
-        return np.where(self.known[at] == shingles, self.weight[at], 1.0)
-
-    def similarity(self, k: int, hashed: np.ndarray) -> float:
-        """Weighted Jaccard similarity of the shingle counts of item k and of the words given."""
-        both, side = np.unique(np.concatenate((self.shingles(self.hashes[k]), self.shingles(hashed))), return_inverse=True)
-        n = len(self.shingles(self.hashes[k]))
-        x, y = np.bincount(side[:n], minlength=len(both)), np.bincount(side[n:], minlength=len(both))
-        weight = self.weights(both)
-        return float((weight * np.minimum(x, y)).sum() / (weight * np.maximum(x, y)).sum())
-
-    def best(self, k: int, text: np.ndarray, at: int, w: int, offset: int) -> tuple[float, int, int]:
-        """(similarity, first word, end) of the best passage for item k with the window of w words at ``at`` at one end."""
-        n = len(self.hashes[k])
-        slack = n * (100 - self.percent) // self.percent + 1  # an alike passage has at most so many words more or less
-        found = (0.0, at, at + w)
-        for more in sorted(range(-slack, slack + 1), key=abs):
-            first, end = (max(0, at + w - n - more), at + w) if offset else (at, min(len(text), at + n + more))
-            if end > first and (s := self.similarity(k, text[first:end])) > found[0]:
-                found = (s, first, end)
-            if found[0] == 1 or found[0] * 250 < self.percent:  # alike, or too far for any length: a word more or less changes little
-                break
+    def best(self, k: int, shingles: np.ndarray) -> tuple[float, int, int]:
+        """(similarity, first, end) of the passage most alike to item k, in shingles of a text; of equals the first. Below
+        ``percent`` the similarity may be given as 0.
+
+        A best passage begins and ends with shingles of the item, and its union weighs at most what the least similarity leaves.
+        """
+        values, times, weight = self.own[k]
+        at = np.minimum(np.searchsorted(values, shingles), len(values) - 1)
+        place = np.flatnonzero(values[at] == shingles)
+        which = at[place]
+        total, other = float((times * weight).sum()), self.other[k]
+        found, least = (0.0, 0, 0), self.percent / 100 - EPSILON
+        if (np.minimum(np.bincount(which, minlength=len(values)), times) * weight).sum() < least * total:
+            return found
+        sums = np.concatenate(([0.0], np.cumsum(weight[which])))
+        most = total * (1 / max(least, EPSILON) - 1) + EPSILON  # what a passage may hold besides the item
+        # Positions that lie so far that what is between would weigh too much; hits weigh at least something, so this only bounds by others.
+        ends = np.searchsorted(place - np.arange(len(place)), place - np.arange(len(place)) + most / other, "right")
+        for i in range(len(place)):
+            if min(total, sums[ends[i]] - sums[i]) < max(least, found[0]) * total - EPSILON:
+                continue
+            seen, both, over = {}, 0.0, 0.0
+            for j in range(i, int(ends[i])):
+                s = int(which[j])
+                seen[s] = n = seen.get(s, 0) + 1
+                if n <= times[s]:
+                    both += weight[s]
+                else:
+                    over += weight[s]
+                more = over + other * float(place[j] - place[i] - (j - i))
+                if more > most:
+                    break
+                if (now := both / (total + more)) > found[0] + EPSILON:
+                    found = (min(float(now), 1.0), int(place[i]), int(place[j]) + 1)
+            if found[0] > 1 - EPSILON:
+                return (1.0, *found[1:])
         return found
 
 
-def window_size(n: int) -> int:
-    """The largest window size not above n."""
-    sizes = [1]
-    while (step := max(sizes[-1] + 1, int(sizes[-1] * STEP))) <= n:
-        sizes.append(step)
-    return sizes[-1]
-
-
 def near_values(values: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(any, first, print): the prints whose block value is within the radius of v are ``print[first[v]:first[v + 1]]``."""
     flips = [U(sum(1 << b for b in bits)) for n in range(radius + 1) for bits in combinations(range(16), n)]
@@ -141,35 +160,28 @@ def fingerprints(hashed: np.ndarray, sizes: list[int]) -> dict[int, np.ndarray]:
 
 
 def _search(items: Items):
-    sizes = sorted(items.classes)
-    longest = max(map(len, items.hashes), default=1)
-    piece = 16_384  # windows at a time, so that the counters stay in the cache
-
-    def matches(hashed: np.ndarray):
-        """(distance, size, number of the print, position) of all windows near an item's print, the nearest first."""
-        found = set()
-        for begin in range(0, len(hashed), piece):
-            part = hashed[begin : begin + piece + longest]
-            for w, prints in fingerprints(part, sizes).items():
-                at, which, distance = near_prints(prints[:piece], items.prints[w], items.tables[w])
-                found.update(zip(distance.tolist(), [w] * len(at), which.tolist(), (at + begin).tolist()))
-        return sorted(found)
+    def candidates(size: int, shingles: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int]]:
+        """(document, item) of all documents that hold an anchor of the item."""
+        maybe, values, first, item = items.anchors[size]
+        at = np.flatnonzero(maybe[shingles & U(len(maybe) - 1)])
+        i = np.minimum(np.searchsorted(values, shingles[at]), len(values) - 1)
+        hit = values[i] == shingles[at]
+        at, i = at[hit], i[hit]
+        doc = np.searchsorted(offsets, at, "right") - 1
+        inside = at + size <= offsets[doc + 1]  # else a shingle over two documents
+        pairs = np.unique(np.stack((doc[inside], i[inside]), 1), axis=0)
+        return sorted({(int(d), int(k)) for d, v in pairs for k in item[first[v] : first[v + 1]]})
 
     def run(batches):
         for batch in batches:
             ids, texts, out = batch.column(0).to_pylist(), batch.column(1).to_pylist(), []
-            for first, hashed, offsets in words.words(texts) if sizes else ():
-                best: dict[tuple[int, int], tuple[float, int, int]] = {}
-                for _, w, k, at in matches(hashed):
-                    doc = int(np.searchsorted(offsets, at, "right")) - 1
-                    if at + w > offsets[doc + 1]:
-                        continue  # a window over two documents
-                    item, offset = items.owner[w][k]
-                    text = hashed[offsets[doc] : offsets[doc + 1]]
-                    old = best.get((doc, item), (0.0, 0, 0))
-                    if old[0] < 1 and (new := items.best(item, text, at - int(offsets[doc]), w, offset))[0] > old[0]:
-                        best[doc, item] = new
-                out += [(ids[first + doc], items.ids[item], *found) for (doc, item), found in best.items() if found[0] * 100 >= items.percent]
+            for first, hashed, offsets in words.words(texts) if items.ids else ():
+                for size in items.anchors:
+                    shingles = words.shingle_hashes(hashed, size)
+                    for doc, k in candidates(size, shingles, offsets):
+                        similarity, a, b = items.best(k, shingles[offsets[doc] : offsets[doc + 1] - size + 1])
+                        if similarity * 100 >= items.percent - 100 * EPSILON and similarity > 0:
+                            out.append((ids[first + doc], items.ids[k], similarity, a, b - 1 + size))
             columns = list(zip(*out)) if out else [[]] * 5
             yield pa.record_batch([pa.array(columns[i], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()))], ["doc_id", "item_id", "similarity", "first_word", "end_word"])
 
@@ -179,7 +191,7 @@ def _search(items: Items):
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, item_id, similarity, first_word, end_word): each document and item of which it holds a passage.
 
-    Best passages are sought among those that begin or end with the window. A passage counts if the weighted Jaccard similarity of its word shingles and the item's is at least ``percent`` / 100;
+    Passages are all runs of words of a document. A passage counts if the weighted Jaccard similarity of its word shingles and the item's is at least ``percent`` / 100;
     the best passage of each item is given, the first of equals. Items and texts that are null, empty or hold no words match nothing; items with
     fewer words than ``size`` are one shingle. The benchmark is a stated query set: it is read by the driver in
     parts of PART_WORDS words, each searched for in all documents.

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -157,6 +158,44 @@ def test_leaks_are_found_and_clean_texts_stay(spark, docs):
     assert decontaminate.leaks(docs(texts.items()), benchmark.where("false")).count() == 0
 
 
+def brute_force(item, text, size=5):
+    """The largest Jaccard similarity of the item's shingle counts and those of any passage of the text."""
+    size = min(size, len(item))
+    own, runs = Counter(tuple(item[i : i + size]) for i in range(len(item) - size + 1)), [tuple(text[i : i + size]) for i in range(len(text) - size + 1)]
+    best, total = 0.0, own.total()
+    for i in (i for i, r in enumerate(runs) if r in own):
+        seen, both = Counter(), 0
+        for j in range(i, min(len(runs), i + len(item) * 5 // 4)):
+            seen[runs[j]] += 1
+            both += seen[runs[j]] <= own[runs[j]]
+            best = max(best, both / (total + j - i + 1 - both))
+    return best
+
+
+@pytest.mark.parametrize("n", [100, 142, 227, 363])
+def test_leaks_equal_brute_force_on_changed_runs(n):
+    rng = random.Random(n)
+    word = lambda: f"w{rng.randrange(5000)}"
+    benchmark = [[word() for _ in range(n)] for _ in range(4)]
+    texts, expected = [], {}
+    for k, item in enumerate(benchmark):
+        for kind in ("replaced", "inserted", "deleted", "scattered"):
+            for share in (0.02, 0.05, 0.09, 0.13):
+                run, at = max(1, int(n * share)), rng.randrange(n // 4, n // 2)
+                new = [word() for _ in range(0 if kind == "deleted" else run)]
+                copy = item[:at] + new + item[at + (0 if kind == "inserted" else run) :]
+                if kind == "scattered":
+                    copy = [word() if i % max(1, n // (run // 5 + 1)) == n // 7 else w for i, w in enumerate(item)]
+                text = [word() for _ in range(30)] + copy + [word() for _ in range(30)]
+                if (s := brute_force(item, text)) >= 0.8:
+                    expected[len(texts), k] = s
+                texts.append(" ".join(text))
+    items = decontaminate.Items(list(range(len(benchmark))), [" ".join(b) for b in benchmark], 5, 80)
+    batch = pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    found = {(r["doc_id"], r["item_id"]): r["similarity"] for b in decontaminate._search(items)([batch]) for r in b.to_pylist()}
+    assert len(expected) > 20 and found == pytest.approx(expected)
+
+
 def test_block_tables_find_all_prints_within_the_radius():
     rng = np.random.default_rng(6)
     wanted = rng.integers(0, 1 << 63, 20).astype(np.uint64)
