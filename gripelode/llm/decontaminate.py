@@ -11,6 +11,7 @@ may be further than any fixed radius.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -28,20 +29,19 @@ EPSILON = 1e-9  # sums of weights are compared up to it
 
 
 class Items:
-    """The shingles, their weights and the anchors of a benchmark."""
-
-    def __init__(self, ids: list[int], texts: list[str], size: int, percent: int):
-        self.size, self.percent, self.ids, self.hashes = size, percent, [], []
-        for first, hashed, offsets in words.words(texts):
-            for i, (a, b) in enumerate(zip(offsets[:-1], offsets[1:])):
-                if b > a:
-                    self.ids.append(ids[first + i])
-                    self.hashes.append(hashed[a:b])
-        held = [np.unique(self.shingles(h), return_counts=True) for h in self.hashes]
-        known, counts = np.unique(np.concatenate([h[0] for h in held]), return_counts=True) if held else (np.empty(0, U), np.empty(0))
+    """The shingles, their weights and the anchors of the different texts of a benchmark."""
+
+    def __init__(self, ids: list[list[int]], hashes: list[np.ndarray], shared: list[dict[int, int]], size: int, percent: int):
+        """For each text its ids, word hashes, and of its shingles that more texts hold how many do."""
+        self.ids, self.percent = ids, percent
+        self.sizes = [min(size, len(h)) for h in hashes]
         #: For each item its distinct shingles, how often it holds each, and their weights; a shingle of many items says less about each.
-        self.own = [(values, times, 1 / counts[np.searchsorted(known, values)]) for values, times in held]
-        self.other = [1.0] * len(held)  # weight of a shingle that the item does not hold
+        self.own, self.other = [], []
+        for h, n, many in zip(hashes, self.sizes, shared):
+            values, times = np.unique(words.shingle_hashes(h, n), return_counts=True)
+            weight = 1 / np.array([many.get(v, 1) for v in values.view(np.int64).tolist()], float)
+            self.own.append((values, times, weight))
+            self.other.append(float((times * weight).sum() / times.sum()))  # a shingle that the item does not hold weighs as its own on average
         self.anchors = self._anchors()
 
     def _anchors(self) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -52,7 +52,7 @@ class Items:
             order = np.argsort(-weight, kind="stable")
             reached = np.cumsum((times * weight)[order])
             n = np.searchsorted(reached, reached[-1] * (100 - self.percent) / 100 + EPSILON, "right") + 1
-            found.setdefault(min(self.size, len(self.hashes[k])), []).append((values[order[:n]], k))
+            found.setdefault(self.sizes[k], []).append((values[order[:n]], k))
         out = {}
         for size, of in found.items():
             value = np.concatenate([v for v, _ in of])
@@ -63,9 +63,6 @@ class Items:
             out[size] = maybe, values, np.append(first, len(value)), np.repeat([k for _, k in of], [len(v) for v, _ in of])[order]
         return out
 
-    def shingles(self, hashed: np.ndarray) -> np.ndarray:
-        return words.shingle_hashes(hashed, min(self.size, len(hashed)))
-
     def best(self, k: int, shingles: np.ndarray) -> tuple[float, int, int]:
         """(similarity, first, end) of the passage most alike to item k, in shingles of a text; of equals the first. Below
         ``percent`` the similarity may be given as 0.
@@ -181,37 +178,65 @@ def _search(items: Items):
                     for doc, k in candidates(size, shingles, offsets):
                         similarity, a, b = items.best(k, shingles[offsets[doc] : offsets[doc + 1] - size + 1])
                         if similarity * 100 >= items.percent - 100 * EPSILON and similarity > 0:
-                            out.append((ids[first + doc], items.ids[k], similarity, a, b - 1 + size))
+                            out += [(ids[first + doc], item, similarity, a, b - 1 + size) for item in items.ids[k]]
             columns = list(zip(*out)) if out else [[]] * 5
             yield pa.record_batch([pa.array(columns[i], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()))], ["doc_id", "item_id", "similarity", "first_word", "end_word"])
 
     return run
 
 
+def _word_hashes(batches):
+    """(item_id, words): the word hashes of items that have words."""
+    for batch in batches:
+        out, ids = [], batch.column(0).to_pylist()
+        for first, hashed, offsets in words.words(batch.column(1).to_pylist()):
+            out += [(ids[first + i], hashed[a:b].tobytes()) for i, (a, b) in enumerate(zip(offsets[:-1], offsets[1:])) if b > a]
+        yield pa.record_batch([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.binary())], ["item_id", "words"])
+
+
+def weighed(benchmark: DataFrame, size: int) -> DataFrame:
+    """(ids, words, shared) of each different text of (item_id, text): its ids, word hashes, and a map from those of its
+    shingles that more texts hold to how many of all texts do."""
+    items = benchmark.mapInArrow(_word_hashes, "item_id long, words binary").groupBy("words").agg(F.collect_set("item_id").alias("ids"))
+    items = common.stage(items.withColumn("key", F.sha2("words", 256)), "items")
+
+    def shingles(batches):
+        for batch in batches:
+            found = [np.unique(words.shingle_hashes(h, min(size, len(h)))) for h in (np.frombuffer(w, U) for w in batch.column(1).to_pylist())]
+            keys = np.repeat(batch.column(0).to_pylist(), [len(f) for f in found]).tolist()
+            yield pa.record_batch([pa.array(keys, pa.string()), pa.array(np.concatenate([*found, np.empty(0, U)]).view(np.int64))], ["key", "shingle"])
+
+    held = items.select("key", "words").mapInArrow(shingles, "key string, shingle long")
+    many = common.stage(held.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
+    shared = held.join(common.small(many), "shingle").groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("shingle", "n"))).alias("shared"))
+    return items.join(shared, "key", "left").select("ids", "words", "shared")
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, item_id, similarity, first_word, end_word): each document and item of which it holds a passage.
 
     Passages are all runs of words of a document. A passage counts if the weighted Jaccard similarity of its word shingles and the item's is at least ``percent`` / 100;
-    the best passage of each item is given, the first of equals. Items and texts that are null, empty or hold no words match nothing; items with
+    the best passage of each item is given, the first of equals. A shingle weighs 1 / (number of different texts of the whole
+    benchmark that hold it), one that the item does not hold as much as the item's own on average. Items and texts that are null, empty or hold no words match nothing; items with
     fewer words than ``size`` are one shingle. The benchmark is a stated query set: it is read by the driver in
-    parts of PART_WORDS words, each searched for in all documents.
+    parts of PART_WORDS words, and each is searched for in all documents as soon as it is read.
     """
     common.prepare(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     texts = texts.where("doc_id is not null and text is not null")
     asked = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text")).where("text is not null and item_id is not null").distinct()
     schema = "doc_id long, item_id long, similarity double, first_word long, end_word long"
-    parts, held, count = [], [], 0
-    for row in asked.orderBy("item_id", "text").toLocalIterator():
+    found, held, count = [], [], 0
+    search = lambda part: texts.mapInArrow(_search(Items([r["ids"] for r in part], [np.frombuffer(r["words"], U) for r in part], [r["shared"] or {} for r in part], size, percent)), schema)
+    for row in common.stage(weighed(asked, size), "weighed").toLocalIterator():
         held.append(row)
-        count += len(row["text"]) // 2
+        count += len(row["words"]) // 8
         if count > PART_WORDS:
-            parts, held, count = [*parts, held], [], 0
-    found = None
-    for part in [*parts, held]:
-        items = Items([r["item_id"] for r in part], [r["text"] for r in part], size, percent)
-        one = texts.mapInArrow(_search(items), schema)
-        found = one if found is None else found.unionByName(one)
+            found.append(common.stage(search(held), "leaks"))
+            held, count = [], 0
+    if held or not found:
+        found.append(search(held))
+    found = reduce(DataFrame.unionByName, found)
     return found.groupBy("doc_id", "item_id").agg(F.max_by(F.struct("similarity", "first_word", "end_word"), F.struct("similarity", -F.col("first_word"))).alias("m")).select("doc_id", "item_id", "m.*")
 
 

@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from gripelode.llm import common, decontaminate, embeddings, jaccard, lines, lm, packing, sentencepiece_codec, toxicity, urls, warc
+from gripelode.llm import common, decontaminate, embeddings, jaccard, lines, lm, packing, sentencepiece_codec, toxicity, urls, warc, words
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SPACES = " \t\n\x0b\x0c\r"
@@ -190,12 +190,26 @@ def test_leaks_equal_brute_force_on_changed_runs(n):
                 if (s := brute_force(item, text)) >= 0.8:
                     expected[len(texts), k] = s
                 texts.append(" ".join(text))
-    items = decontaminate.Items(list(range(len(benchmark))), [" ".join(b) for b in benchmark], 5, 80)
+    hashed, offsets = next(words.words([" ".join(b) for b in benchmark]))[1:]
+    items = decontaminate.Items([[k] for k in range(len(benchmark))], np.split(hashed, offsets[1:-1]), [{}] * len(benchmark), 5, 80)
     batch = pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
     found = {(r["doc_id"], r["item_id"]): r["similarity"] for b in decontaminate._search(items)([batch]) for r in b.to_pylist()}
     assert len(expected) > 20 and found == pytest.approx(expected)
 
 
+@pytest.mark.parametrize("part_words", [40, decontaminate.PART_WORDS])
+def test_repeated_items_weigh_as_single_ones(spark, docs, monkeypatch, part_words):
+    monkeypatch.setattr(decontaminate, "PART_WORDS", part_words)
+    make = lambda name, n: [f"{name}{i}" for i in range(n)]
+    twice, tenfold, framed = make("a", 50), make("b", 30), make("frame", 40)
+    rows = [(i, twice) for i in (0, 1)] + [(i, tenfold) for i in range(10, 20)] + [(i, framed + make(f"own{i}_", 10)) for i in range(20, 30)]
+    benchmark = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "item_id long, text string")
+    found = decontaminate.leaks(docs([(1, " ".join([*twice[:25], "new", *twice[26:]])), (2, " ".join([*tenfold[:-1], "new"])), (3, " ".join(["new", *framed[1:], *make("own20_", 10)]))]), benchmark).collect()
+    found = {(r["doc_id"], r["item_id"]): r["similarity"] for r in found}
+    whole = 36 * 0.1 + 10  # the best passages leave a changed word at their end out
+    assert found == pytest.approx({(1, i): 41 / 51 for i in (0, 1)} | {(2, i): 25 / 26 for i in range(10, 20)} | {(3, 20): (whole - 0.1) / whole})
+
+
 def test_block_tables_find_all_prints_within_the_radius():
     rng = np.random.default_rng(6)
     wanted = rng.integers(0, 1 << 63, 20).astype(np.uint64)
