@@ -33,7 +33,10 @@ def intervals(entries: DataFrame) -> DataFrame:
     """(list, domain, path, blocks, valid_from, valid_to): entries are (list, pattern, action, ts) with action ``block``,
     ``allow`` or ``remove``. Of entries of one list, pattern and time the greatest action name holds; those with nulls are left out. Bounds are
     microseconds since 1970; the last entry of a pattern has no end."""
-    known = entries.select(F.col("list").cast("string"), F.rtrim(F.lower(F.col("pattern").cast("string")), F.lit("./")).alias("pattern"), "action", F.unix_micros(F.col("ts").cast("timestamp")).alias("valid_from"))
+    said = F.col("pattern").cast("string")
+    host = F.substring_index(said, "/", 1)
+    said = F.concat(F.lower(host), F.expr("substring(cast(pattern as string), length(substring_index(cast(pattern as string), '/', 1)) + 1)"))  # a path keeps its case
+    known = entries.select(F.col("list").cast("string"), F.rtrim(said, F.lit("./")).alias("pattern"), "action", F.unix_micros(F.col("ts").cast("timestamp")).alias("valid_from"))
     known = known.where("list is not null and pattern <> '' and action in ('block', 'allow', 'remove') and valid_from is not null")
     known = known.groupBy("list", "pattern", "valid_from").agg(F.max("action").alias("action"))
     until = F.lead("valid_from").over(Window.partitionBy("list", "pattern").orderBy("valid_from"))

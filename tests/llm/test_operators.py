@@ -259,6 +259,13 @@ def test_url_lists_hold_from_their_dates(spark):
     assert not any(r["blocked"] for r in urls.decide(captures, entries.where("false")).collect())
 
 
+def test_url_paths_keep_their_case(spark):
+    entries = spark.createDataFrame([("l", "A.example/Foo", "block", "2024-01-01"), ("m", "a.example/bar", "block", "2024-01-01")], "list string, pattern string, action string, ts string")
+    rows = [(1, "http://a.example/Foo"), (2, "http://a.Example/Foo/x"), (3, "http://a.example/foo"), (4, "http://a.example/Bar"), (5, "http://a.example/bar")]
+    captures = spark.createDataFrame(rows, "page_id long, url string").withColumn("fetched_at", F.lit("2024-01-02"))
+    assert {r["page_id"]: r["blocked_by"] for r in urls.decide(captures, entries).collect()} == {1: "l", 2: "l", 3: "", 4: "", 5: "m"}
+
+
 def test_lines_stay_in_the_last_document(docs):
     import hashlib
 
