@@ -1,8 +1,8 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine, found with a block-max inverted index.
 
-Features are words and their first bytes. Labelled training documents, all of them, tell which features go with the label;
-the strongest are the terms. Document frequencies of the terms are counted over all documents. A bounded sample of labelled
-examples is indexed: examples lie in blocks, and each term stores its largest weight per block. A document's blocks are
+Features are words and their first bytes. Labelled training documents, all of them, tell which features go with the label:
+every feature whose shares differ by MIN_RATIO, beyond chance, is a term, so the test means the same at every size. Document frequencies of the terms are counted over all documents. A bounded sample of labelled
+examples is indexed as sparse postings: examples lie in blocks, and each term stores its largest weight per block. A document's blocks are
 visited in order of their bounds until no block can hold a better neighbour, so the K nearest are exact. Neighbours vote
 with their squared cosine, and a logistic curve fitted on further labelled rows turns the vote into a probability.
 """
@@ -16,9 +16,8 @@ from pyspark.sql import functions as F
 
 from gripelode.llm import common, words
 
-TERMS = 2048  # features of the model
 EXAMPLES = 2048  # indexed examples of each label; as many again of each fit the curve
-MIN_DOCS, MIN_Z = 5, 5.0
+MIN_DOCS, MIN_Z, MIN_RATIO = 5, 5.0, 2.0
 PREFIXES = (4, 5, 6)  # bytes
 K, BLOCK, PRIOR = 32, 64, 0.25
 HELD = 2_000_000
@@ -107,6 +106,11 @@ class Terms:
         return out
 
 
+def _ranges(first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(numbers first[i] to first[i] + size[i] - 1 of all i, size)."""
+    return np.arange(size.sum()) - np.repeat(np.cumsum(size) - size - first, size), size
+
+
 class Index:
     """Examples in blocks, with the largest weight of each term per block."""
 
@@ -116,34 +120,54 @@ class Index:
         examples = sorted((e for e in examples if len(e[2])), key=lambda e: (int(e[2][np.argmax(e[3])]), e[1], e[0]))
         self.doc, self.label = (np.array([e[i] for e in examples], np.int64) for i in (0, 1))
         self.blocks = -(-len(examples) // BLOCK)
-        self.weights = np.zeros((n_terms, self.blocks * BLOCK), np.float32)
-        for i, (_, _, term, weight) in enumerate(examples):
-            self.weights[term, i] = weight
-        self.most = self.weights.reshape(n_terms, self.blocks, BLOCK).max(axis=2) if examples else np.zeros((n_terms, 0), np.float32)
+        term = np.concatenate([e[2] for e in examples]).astype(np.int64) if examples else np.empty(0, np.int64)
+        weight = np.concatenate([e[3] for e in examples]).astype(float) if examples else np.empty(0)
+        place = np.repeat(np.arange(len(examples)), [len(e[2]) for e in examples])
+        order = np.lexsort((place, term))
+        term, self.place, self.weight = term[order], place[order], weight[order]
+        # Entries are the pairs of term and block that hold postings; those of term t are first[t] to first[t + 1].
+        pair = term * max(self.blocks, 1) + self.place // BLOCK
+        self.start = np.flatnonzero(np.diff(pair, prepend=-1))
+        self.size = np.diff(np.append(self.start, len(pair)))
+        self.block = self.place[self.start] // BLOCK
+        self.most = np.maximum.reduceat(self.weight, self.start) if len(pair) else np.empty(0)
+        self.first = np.searchsorted(term[self.start], np.arange(n_terms + 1))
+
+    @property
+    def weights(self) -> np.ndarray:
+        """The postings as a dense table of terms and examples; for small indexes."""
+        out = np.zeros((len(self.first) - 1, self.blocks * BLOCK), np.float32)
+        out[np.repeat(np.searchsorted(self.first, np.arange(len(self.start)), "right") - 1, self.size), self.place] = self.weight
+        return out
 
     def nearest(self, term: np.ndarray, weight: np.ndarray, k: int = K) -> tuple[np.ndarray, np.ndarray]:
         """(example numbers, cosines) of the k nearest with a cosine above 0; ties go to the smaller number."""
         if not len(term) or not self.blocks:
             return np.empty(0, np.int64), np.empty(0)
-        weight = weight.astype(np.float32)
-        bound = weight @ self.most[term] * np.float32(1.00001)
+        entry, times = _ranges(self.first[term], self.first[term + 1] - self.first[term])
+        weight, block = np.repeat(weight, times), self.block[entry]
+        bound = np.bincount(block, weight * self.most[entry], self.blocks) * 1.00001
         order = np.argsort(-bound, kind="stable")
-        which, value, least, at = np.empty(0, np.int64), np.empty(0, np.float32), 0.0, 0
+        which, value, least, at, some_at_once = np.empty(0, np.int64), np.empty(0), 0.0, 0, 4
         while at < len(order):
-            some = order[at : at + 4]  # a few blocks at a time
+            some = order[at : at + some_at_once]  # a few blocks at a time
             some = some[(bound[some] > 0) & (bound[some] >= least)]
             if not len(some):
                 break
-            place = (some[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-            cosine = weight @ self.weights[term][:, place]
-            which, value = np.concatenate((which, place)), np.concatenate((value, cosine))
+            wanted = np.zeros(self.blocks, bool)
+            wanted[some] = True
+            mine = np.flatnonzero(wanted[block])
+            posting, n = _ranges(self.start[entry[mine]], self.size[entry[mine]])
+            cosine = np.bincount(self.place[posting], np.repeat(weight[mine], n) * self.weight[posting])
+            place = np.flatnonzero(cosine)
+            which, value = np.concatenate((which, place)), np.concatenate((value, cosine[place]))
             top = np.lexsort((which, -value))[:k]
             which, value = which[top], value[top]
             if len(value) == k:
                 least = value[-1]
-            at += 4
+            at += some_at_once
         found = value > 0
-        return which[found], value[found].astype(np.float64)
+        return which[found], value[found]
 
     def vote(self, term: np.ndarray, weight: np.ndarray) -> tuple[float, list[int]]:
         """(share of squared cosine that label 1 holds, with PRIOR added to the other side; documents of the best evidence)."""
@@ -187,8 +211,10 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     share = n / F.lit(float(max(ones + zeros, 1)))
     gap = F.col("ones") / F.lit(float(max(ones, 1))) - F.col("zeros") / F.lit(float(max(zeros, 1)))
     z = gap / F.sqrt(share * (1 - share) * F.lit(1 / max(ones, 1) + 1 / max(zeros, 1)) + 1e-12)
-    best = counted.where(n >= MIN_DOCS).withColumn("z", F.abs(z)).where(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "feature").limit(TERMS)
-    ids = np.array([r["feature"] for r in best.select("feature").collect()], np.int64)  # at most TERMS
+    # Smoothed, so that a feature of one label alone has a ratio.
+    ratio = (F.col("ones") + 0.5) / F.lit(ones + 1.0) / ((F.col("zeros") + 0.5) / F.lit(zeros + 1.0))
+    best = counted.where((n >= MIN_DOCS) & (F.abs(z) >= MIN_Z) & (F.greatest(ratio, 1 / ratio) >= MIN_RATIO))
+    ids = best.select("feature").toArrow().column(0).to_numpy()  # the words that go with a label
     terms = Terms(ids)
 
     def frequencies(batches):
@@ -197,12 +223,14 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             for _, n, _, term, _ in terms.counts(batch.column(0).to_pylist()):
                 seen += np.bincount(term, minlength=len(seen))
                 total += n
-        yield pa.record_batch([pa.array(np.arange(-1, len(seen))), pa.array(np.append(total, seen))], ["term", "n"])
+        held = np.flatnonzero(seen)
+        yield pa.record_batch([pa.array(np.append(-1, held)), pa.array(np.append(total, seen[held]))], ["term", "n"])
 
     found = rows.select("text").mapInArrow(frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    frequency = {r["term"]: r["n"] for r in found.collect()}  # at most TERMS + 1
-    total = frequency.get(-1, 0)
-    terms.weight = np.array([np.log((total + 1) / (frequency.get(i, 0) + 1)) + 1 for i in range(len(terms.ids))])
+    counts = found.toArrow()  # a row for each term and one more
+    frequency = np.zeros(len(terms.ids) + 1, np.int64)
+    frequency[counts.column(0).to_numpy()] = counts.column(1).to_numpy()  # the last is the number of documents, from term -1
+    terms.weight = np.log((frequency[-1] + 1) / (frequency[:-1] + 1)) + 1
     # A bounded sample of labelled rows, the smallest hashes of each label: first the examples, then those for the curve.
     order = F.xxhash64("doc_id", F.lit("example"))
     picked = [known.where(F.col("label") == label).withColumn("order", order).orderBy("order", "doc_id").limit(2 * EXAMPLES) for label in (0, 1)]
@@ -223,7 +251,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     votes, truth = np.array([index.vote(t, w)[0] for _, _, t, w in rest]), np.array([v[1] for v in rest], float)
     per = {label: totals.get(label, 0) / max(1, sum(v[1] == label for v in rest)) for label in (0, 1)}
     slope, intercept = (0.0, float(np.log((ones + 0.5) / (zeros + 0.5)))) if not ones or not zeros else fit_curve(votes, truth, np.array([per[v[1]] for v in rest]))
-    model = spark.sparkContext.broadcast((terms, index, slope, intercept))  # bounded by TERMS and EXAMPLES
+    model = spark.sparkContext.broadcast((terms, index, slope, intercept))  # the index is bounded by EXAMPLES
 
     def scored(batches):
         terms, index, slope, intercept = model.value

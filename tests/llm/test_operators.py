@@ -392,6 +392,16 @@ def test_toxicity_learns_and_keeps_clean_texts(spark, docs):
     assert toxicity.score(docs([]), labels).count() == 0
 
 
+def test_rare_toxic_words_count_beside_thousands_of_others(spark, docs):
+    rng = random.Random(8)
+    noise = lambda: " ".join(f"n{rng.randrange(300)}" for _ in range(20))
+    toxic = [f"{i:04d}vileword" for i in range(700)]  # 2,800 features, each in more documents than the rare word
+    texts = [noise() if i % 4 else f"{noise()} {' '.join(rng.sample(toxic, 60))}" if i % 80 else f"{noise()} rareword" for i in range(1600)]
+    labels = spark.createDataFrame([(i, 0, int(i % 4 == 0)) for i in range(1600)], "doc_id long, quality int, toxic int")
+    found = {r["doc_id"]: r["predicted"] for r in toxicity.score(docs([*enumerate(texts), *((i, f"{noise()} rareword") for i in range(5000, 5010)), *((i, noise()) for i in range(6000, 6010))]), labels).collect()}
+    assert [found[i] for i in range(5000, 5010)] == [1] * 10 and [found[i] for i in range(6000, 6010)] == [0] * 10
+
+
 def test_language_model_equals_plain_counts(docs):
     rng = random.Random(6)
     rows = [(i, " ".join(f"w{int(rng.expovariate(0.1))}" for _ in range(rng.randrange(80))).upper()) for i in range(120)] + [(200, None), (201, "never seen"), (202, " \n")]
