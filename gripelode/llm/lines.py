@@ -32,15 +32,20 @@ def keys_of(text: Column) -> Column:
     return F.transform(lines_of(_folded(text.cast("string"))), lambda x: F.btrim(x, F.lit(" \t\n\x0b\x0c\r")))
 
 
+def _text_hash(text: Column) -> Column:
+    """Tells the texts of rows that repeat an id apart."""
+    return F.xxhash64(text.cast("string"))
+
+
 def dropped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 40, min_docs: int = 5) -> DataFrame:
-    """(doc_id, bitmap): for each document that loses lines a map from word number to the bits of its dropped lines.
+    """(doc_id, text_hash, bitmap): for each document and text that loses lines a map from word number to the bits of its dropped lines.
 
     Keys of at least ``min_chars`` characters that at least ``min_docs`` documents hold stay in the largest id only.
     Rows with a null id and null texts lose nothing; rows that repeat an id are one document as far as counts go.
     """
-    lines = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.posexplode(keys_of(F.col(text_col))).alias("pos", "key"))
+    lines = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc_id"), _text_hash(F.col(text_col)).alias("text_hash"), F.posexplode(keys_of(F.col(text_col))).alias("pos", "key"))
     lines = lines.where(F.char_length("key") >= min_chars)
-    lines = common.stage(lines.select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"), "doc_id", "pos"), "lines")
+    lines = common.stage(lines.select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"), "doc_id", "text_hash", "pos"), "lines")
     seen = lines.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where(f"n >= {min_docs}")
     seen = common.stage(seen, "repeated")
     again = lines.join(common.small(seen), ["h1", "h2"])
@@ -53,14 +58,14 @@ def dropped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
     held = first.groupBy("h1", "h2").agg(F.sum("n").alias("n"), F.max("last").alias("last")).where(f"n >= {min_docs}").drop("n")
     held = common.stage(held, "held")
     out = again.join(common.small(held), ["h1", "h2"]).where("doc_id < last")
-    bits = out.groupBy("doc_id", F.floor(F.col("pos") / WORD).cast("int").alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("pos") % WORD).cast("int"))).alias("bits"))
-    return bits.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("bitmap"))
+    bits = out.groupBy("doc_id", "text_hash", F.floor(F.col("pos") / WORD).cast("int").alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("pos") % WORD).cast("int"))).alias("bits"))
+    return bits.groupBy("doc_id", "text_hash").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("bitmap"))
 
 
 def with_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """docs with the column ``_bitmap``, null where nothing is dropped."""
-    maps = dropped(docs, id_col, text_col, **options).withColumnsRenamed({"doc_id": "_doc", "bitmap": "_bitmap"})
-    return docs.join(maps, F.col(id_col) == F.col("_doc"), "left").drop("_doc")
+    maps = dropped(docs, id_col, text_col, **options).withColumnsRenamed({"doc_id": "_doc", "text_hash": "_text_hash", "bitmap": "_bitmap"})
+    return docs.join(maps, (F.col(id_col) == F.col("_doc")) & (_text_hash(F.col(text_col)) == F.col("_text_hash")), "left").drop("_doc", "_text_hash")
 
 
 def kept_text(text: Column, bitmap: Column) -> Column:

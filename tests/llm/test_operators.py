@@ -292,6 +292,13 @@ def test_lines_stay_in_the_last_document(docs):
 ODD_TEXTS = ["", "  Hello   world ", "a\tb\r\nc", "ﬁ é ① 日本😀\x00", " " * 37 + "x", "<s>hi</s><0x0A><unk>", "a" * 700, "x" * 90 + " " * 50 + "né" * 80, "def f(x):\n        return x  + 1", "3.14159 https://a.example/?q=1&x=y"]
 
 
+def test_texts_that_share_an_id_lose_their_own_lines(docs):
+    rows = [(7, "shared long line\nx"), (7, "own text\ny"), (8, "shared long line")]
+    found = lines.deduplicated(docs(rows), min_chars=5, min_docs=2).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in found) == [(7, "own text\ny"), (7, "x"), (8, "shared long line")]
+    assert sorted((r["doc_id"], r["n_dropped"]) for r in lines.report(docs(rows), min_chars=5, min_docs=2).collect()) == [(7, 0), (7, 1), (8, 0)]
+
+
 def test_pieces_equal_the_library():
     sentencepiece = pytest.importorskip("sentencepiece")
     model = open(sentencepiece_codec.MODEL, "rb").read()
