@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gripelode.llm import decontaminate, embeddings, jaccard, lines, lm, packing, sentencepiece_codec, toxicity, urls, warc
+from gripelode.llm import centroids, decontaminate, embeddings, jaccard, licenses, lines, lm, packing, runs, sentencepiece_codec, toxicity, urls, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -163,3 +163,61 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_lm_scoring")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.held_out_scores(table(spark, sf_dir, "documents"))
+
+
+def _license_sql() -> str:
+    """Every anchor word in every text proposes its template; a proposal is held against the text's words as in the operator."""
+    index = licenses.build_index()
+    postings = ", ".join(f"('{w}', {t}, {at})" for w, found in index.postings.items() for t, at in found)
+    checks = ", ".join(f"({i}, '{c['label']}', {c['base']}, {0 if c['exact'] else licenses.SLACK}, {c['total']})" for i, c in enumerate(index.checks))
+    anchors = ", ".join(f"({i}, {a['at']}, '{a['word']}', {a['weight']})" for i, c in enumerate(index.checks) for a in c["anchors"])
+    phrases = ", ".join(f"({i}, {p['at']}, {p['n']}, '{p['text']}')" for i, c in enumerate(index.checks) for p in c["phrases"])
+    return rf"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{licenses.SEPARATORS}'), lambda x: x <> '') AS w FROM documents),
+posting(word, t, pos) AS (VALUES {postings}), checks(t, label, base, slack, total) AS (VALUES {checks}),
+anchor(t, pos, word, weight) AS (VALUES {anchors}), phrase(t, pos, n, words) AS (VALUES {phrases}),
+x AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS i FROM d),
+p AS (SELECT DISTINCT r, t, i - pos AS start FROM x JOIN posting USING (word)),
+f AS (SELECT r, t, start, sum(CASE WHEN start + pos >= 0 AND w[start + pos + 1] = word THEN weight ELSE 0 END) AS found FROM p JOIN d USING (r) JOIN anchor USING (t) GROUP BY ALL),
+v AS (SELECT r, t, start, bool_and(contains(' ' || array_to_string(w[greatest(start + pos - slack, 0) + 1:greatest(start + pos + n + slack, 0)], ' ') || ' ', words)) AS good
+  FROM p JOIN d USING (r) JOIN checks USING (t) JOIN phrase USING (t) GROUP BY ALL),
+a AS (SELECT r, label, base, start, found / total AS part FROM f JOIN v USING (r, t, start) JOIN checks USING (t) WHERE good AND 100 * found >= {licenses.SHARE} * total),
+g AS (SELECT r, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word, max(start) FILTER (base) AS last_word,
+  string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(part) AS score FROM a GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0)::DOUBLE AS score FROM d LEFT JOIN g USING (r)"""
+
+
+@query("op11_license_scan", _license_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.report(table(spark, sf_dir, "documents"))
+
+
+def _cluster_sql(k: int, rounds: int, dims: int) -> str:
+    near = "min(ROW(x + y - 2 * list_inner_product(v, c), cluster))"
+    parts = [
+        f"""WITH q AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)) AS v FROM embeddings
+  WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        "k AS MATERIALIZED (SELECT r, vec_id, v, list_inner_product(v, v) AS x FROM q)",
+        f"""c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h) - 1 AS cluster, v AS c, x AS y FROM (SELECT sha256('2:' || vec_id) AS h, v, x FROM k WHERE vec_id IS NOT NULL ORDER BY h LIMIT {k}))""",
+    ]
+    for i in range(rounds + 1):
+        parts.append(f"a{i} AS MATERIALIZED (SELECT r, (m).d AS d, (m).cluster AS cluster FROM (SELECT r, {near.replace('ROW(', 'struct_pack(d := ').replace(', cluster)', ', cluster := cluster)')} AS m FROM k, c{i} GROUP BY r))")
+        if i < rounds:
+            parts += [
+                f"""s{i} AS (SELECT cluster, j, sum(x::BIGINT) AS s, count(*) AS n FROM (SELECT cluster, unnest(v) AS x, generate_subscripts(v, 1) AS j FROM k JOIN a{i} USING (r)) GROUP BY cluster, j)""",
+                f"""m{i} AS (SELECT cluster, list(((s - ((s % n) + n) % n) // n)::DOUBLE ORDER BY j) AS c FROM s{i} GROUP BY cluster)""",
+                f"""c{i + 1} AS MATERIALIZED (SELECT cluster, c, list_inner_product(c, c) AS y FROM (SELECT cluster, coalesce(m{i}.c, c{i}.c) AS c FROM c{i} LEFT JOIN m{i} USING (cluster)))""",
+            ]
+    return ",\n".join(parts) + f"""
+SELECT vec_id, cluster::INTEGER AS cluster, d::BIGINT AS distance, sum(d::BIGINT) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia, sum(d::BIGINT) OVER ()::BIGINT AS inertia,
+sha256(array_to_string(list_transform(c, lambda x: x::BIGINT), ',')) AS centroid_sha256 FROM k JOIN a{rounds} USING (r) JOIN c{rounds} USING (cluster)"""
+
+
+@query("op12_centroid_clusters", _cluster_sql(k=40, rounds=5, dims=64))
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"), k=40, rounds=5, dims=64, salt="2")
+
+
+@query("op13_periodic_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.report(table(spark, sf_dir, "documents"), planted=True)
