@@ -127,6 +127,27 @@ def enrich_batch(reviews: DataFrame, as_of: Column, cooldown_hours: int, reproce
     return todo.unionByName(again.join(todo.select("fingerprint").distinct(), "fingerprint", "left_anti"))
 
 
+def next_batch(reviews: DataFrame, as_of: Column, batch_size: int | None = None, reprocess: bool = False, cooldown_hours: int = 24, batch_no: int = 0) -> DataFrame:
+    """The ``batch_no``-th batch of pending rows, oldest crawl first; without ``batch_size`` all pending rows.
+
+    With ``reprocess``, and only where fewer rows are pending than a batch takes, the batch is filled up from the rows that
+    wait longest since their enrichment: twice as many as there is room for are looked at, and those in the batch are skipped.
+    """
+    todo = pending(reviews)
+    if batch_size is None:
+        return todo
+    order = [F.col("scraped_at").asc(), F.col("fingerprint").asc()]
+    taken = todo.orderBy(*order).offset(batch_no * batch_size).limit(batch_size)
+    if not reprocess:
+        return taken
+    room = batch_size - taken.count()
+    if room <= 0:
+        return taken
+    looked_at = reprocess_top(reviews, as_of, cooldown_hours, 2 * room)
+    again = looked_at.join(taken.select("fingerprint"), "fingerprint", "left_anti")
+    return taken.unionByName(again.orderBy(*reprocess_order()).limit(room).select(*taken.columns))
+
+
 def mark_enriched(reviews: DataFrame, batch: DataFrame, as_of: Column) -> DataFrame:
     """Stamp the batch's rows; all other rows are unchanged."""
     done = batch.select(F.col("fingerprint").alias("_done")).distinct()

@@ -11,6 +11,7 @@ from gripelode.operators.candidates import evidence_payload, source_metadata
 from gripelode.operators.cluster import top_rows
 
 LINK_KEY = ["candidate_id", "review_fingerprint"]
+MAX_BROADCAST_IDS = 100_000
 
 
 def upsert(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
@@ -53,16 +54,17 @@ def newest_links(links: DataFrame, limit: int, min_links: int) -> DataFrame:
     return top.join(enough, "candidate_id", "left_semi")
 
 
-def newest_candidates(candidates: DataFrame, limit: int) -> DataFrame:
+def newest_candidates(candidates: DataFrame, limit: int | None = None) -> DataFrame:
     live = candidates.where(F.coalesce("quality_status", F.lit("accepted")) == "accepted")
-    return live.orderBy(F.col("generated_at").desc(), "candidate_id").limit(limit)
+    return live if limit is None else live.orderBy(F.col("generated_at").desc(), "candidate_id").limit(limit)
 
 
-def rebuild_cards(candidates: DataFrame, links: DataFrame, as_of: Column, limit: int, max_links: int = 8, min_links: int = DEFAULT.min_supporting) -> DataFrame:
-    """Coarse cards from stored candidates and links, for the newest ``limit`` candidates."""
+def rebuild_cards(candidates: DataFrame, links: DataFrame, as_of: Column, limit: int | None = None, max_links: int = 8, min_links: int = DEFAULT.min_supporting) -> DataFrame:
+    """Coarse cards from stored candidates and links, for all candidates or the newest ``limit``."""
     chosen = newest_candidates(candidates, limit)
-    # ``chosen`` is capped by ``limit``, so its ids can be broadcast; links are pruned before they are ranked.
-    relevant = links.join(F.broadcast(chosen.select("candidate_id")), "candidate_id", "left_semi")
+    ids = chosen.select("candidate_id")
+    # Links are pruned before they are ranked; few ids are broadcast, others shuffled.
+    relevant = links.join(F.broadcast(ids) if limit is not None and limit <= MAX_BROADCAST_IDS else ids, "candidate_id", "left_semi")
     e = F.struct(
         "link_rank", "source", text.text_of(F.col("url")).alias("url"), text.text_of(F.col("reviewer_name")).alias("author"),
         text.text_of(F.col("posted_at")).alias("posted_at"), F.substring("quote_text", 1, 700).alias("quote"), F.coalesce("match_score", F.lit(0.0)).alias("match_score"),

@@ -131,7 +131,7 @@ def big(x: str) -> str:
 cte("x_base", f"""
   SELECT event_id, ({arr(lx.SOURCE_LABELS)})[event_id % 8 + 1] AS source,
          'it' || CASE WHEN event_id % 23 = 0 THEN event_id - 8 ELSE event_id END AS source_item_id,
-         CAST(user_id % (SELECT count(*) FROM part) AS VARCHAR) AS entity_id, p_brand AS entity_name,
+         CAST(entity AS VARCHAR) AS entity_id, p_brand AS entity_name,
          CASE WHEN event_id % 17 = 0 THEN 'Unknown' WHEN event_id % 19 = 0 THEN 'india' ELSE lower(p_type) END AS category,
          'user' || user_id AS reviewer_name,
          CASE WHEN event_id % 11 <> 0 THEN CAST(1 + event_id % 5 AS DOUBLE) END AS rating,
@@ -141,7 +141,7 @@ cte("x_base", f"""
          ({arr(COUNTRIES)})[event_id % 5 + 1] AS country, 'en' AS language,
          ts + INTERVAL 1 HOUR AS scraped_at,
          CASE WHEN event_id % 4 = 0 THEN ts + INTERVAL 2 HOUR END AS enriched_at
-  FROM events JOIN part ON p_partkey = user_id % (SELECT count(*) FROM part)""")
+  FROM (SELECT e.*, user_id % parts AS entity FROM events e, (SELECT count(*) AS parts FROM part)) JOIN part ON p_partkey = entity""")
 cte("x_reviews", f"""
   SELECT *, {fp('source', 'source_item_id', 'entity_id', 'reviewer_name', 'comment_text', 'posted_at')} AS fingerprint FROM x_base""")
 cte("x_copies", """
