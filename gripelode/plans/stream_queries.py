@@ -7,12 +7,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gripelode import schema
 from gripelode.functions import keys
 from gripelode.plans import sql as S
 from gripelode.plans.registry import query
 from gripelode.session import shared_dir
 from gripelode.sources import operations as ops
 from gripelode.sources.tables import landed_copies, reviews, reviews_of, table
+from gripelode.stores import Store
 from gripelode.streaming import jobs
 
 
@@ -33,8 +35,9 @@ def _paths(spark: SparkSession, name: str) -> tuple[str, str]:
 def stream_ingest(spark, sf):
     path, checkpoint = _paths(spark, "stream_ingest")
     stream = landed_copies(_reviews(spark, sf))
-    jobs.ingest_stream(stream, path, checkpoint, ["scraped_at", "ingest_seq"])
-    return jobs.read_batches(spark, path, stream.schema).select("fingerprint", "ingest_seq", "comment_text")
+    stored = Store(spark, path, "fingerprint string, ingest_seq long, comment_text string", ["fingerprint"])
+    jobs.ingest_stream(stream, stored, checkpoint, ["scraped_at", "ingest_seq"])
+    return stored.read()
 
 
 @query("stream_dedupe", "SELECT DISTINCT fingerprint, source FROM x_copies")
@@ -51,7 +54,9 @@ def stream_cursor(spark, sf):
     path, checkpoint = _paths(spark, "stream_cursor")
     stream = _reviews(spark, sf)
     key = F.concat(F.lit("play:"), "entity_id", F.lit(":"), F.lower("country"))
-    jobs.cursor_stream(stream, ops.cursors(reviews(spark, sf)), key, path, checkpoint)
+    cursors = Store(spark, f"{path}-cursors", schema.SOURCE_CURSORS, ["cursor_key"], filtered=False)
+    cursors.upsert(ops.cursors(reviews(spark, sf)))
+    jobs.cursor_stream(stream, cursors, key, path, checkpoint)
     return jobs.read_batches(spark, path, stream.schema).select("fingerprint", "posted_at")
 
 
@@ -68,9 +73,9 @@ SELECT event_type, {S.iso('window_start')} AS window_start, count(*) AS events
 FROM (SELECT event_type, date_trunc('second', ts) - to_seconds(CAST(k AS INTEGER)) AS window_start FROM events, (SELECT unnest(range(60)) AS k)) GROUP BY event_type, window_start""")
 def stream_rate(spark, sf):
     path, checkpoint = _paths(spark, "stream_rate")
-    stream = jobs.sliding_counts(_events(spark, sf), "event_type", "ts")
+    stream = jobs.panes(_events(spark, sf), "event_type", "ts")
     jobs.update_stream(stream, path, checkpoint)
-    rows = jobs.latest_updates(spark, path, stream.schema, ["event_type", "window_start"])
+    rows = jobs.sliding_counts(jobs.latest_updates(spark, path, stream.schema, ["event_type", "second"]), "event_type")
     return rows.withColumn("window_start", keys.iso_utc(F.col("window_start")))
 
 

@@ -209,13 +209,24 @@ class Store:
         """Adds those rows, one per key, whose key is not stored."""
         return self.append(rows.join(self.known(rows), self.key, "left_anti"), stream, batch)
 
-    def upsert(self, rows: DataFrame) -> int:
-        """New rows, one per key, replace stored ones of their key; only buckets with a change are written again."""
+    def done(self, stream: str, batch: int) -> bool:
+        """Whether a batch of a stream is committed."""
+        return self._manifest(self.version())[1].get(stream, -1) >= batch
+
+    def upsert(self, rows: DataFrame, stream: str | None = None, batch: int = 0) -> int:
+        """New rows, one per key, replace stored ones of their key; only buckets with a change are written again.
+
+        With ``stream`` the batch is committed in any case, and a batch that was committed before changes nothing.
+        """
         version = self.version()
         segments, streams = self._manifest(version)
+        if stream is not None:
+            if streams.get(stream, -1) >= batch:
+                return version
+            streams[stream] = batch
         if not segments:
             written = self._write(rows)
-            return self._commit(version + 1, written, streams) if written else version
+            return self._commit(version + 1, written, streams) if written or stream is not None else version
         named = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema])
         incoming = stage(named.withColumn("bucket", self._bucket()), "incoming")
         touched = {r["bucket"] for r in incoming.select("bucket").distinct().collect()}
@@ -227,7 +238,7 @@ class Store:
         changed = stage(incoming.alias("n").join(stored.alias("o"), on, "left_anti"), "changed")
         buckets = {r["bucket"] for r in changed.select("bucket").distinct().collect()}
         if not buckets:
-            return version
+            return self._commit(version + 1, segments, streams) if stream is not None else version
         kept = self._rows([s for s in segments if s.bucket in buckets]).join(changed.select(*self.key), self.key, "left_anti")
         written = self._write(kept.unionByName(changed.drop("bucket")))
         return self._commit(version + 1, [s for s in segments if s.bucket not in buckets] + written, streams)

@@ -1,7 +1,7 @@
 """Incremental twins of the batch jobs on Structured Streaming.
 
-Every sink writes one folder per micro-batch, so a batch that is retried after a failure replaces
-its own output. Runs use ``availableNow``: they work off what has landed and stop.
+Sinks write one folder per micro-batch or a stored table that knows its last batch, so a batch that is retried after a
+failure replaces its own output or changes nothing. State is kept in RocksDB, so it may exceed an executor's memory. Runs use ``availableNow``: they work off what has landed and stop.
 """
 
 from __future__ import annotations
@@ -9,13 +9,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from gripelode.functions import keys
 from gripelode.operators import ingest
+from gripelode.session import stage
+from gripelode.stores import Store
 
 BATCH = "batch_id"
+HOUR = 3_600
 
 
 def read_landed(spark: SparkSession, path: str, schema, glob: str = "*.parquet", files_per_batch: int = 1000) -> DataFrame:
@@ -43,14 +47,16 @@ def run(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], Non
     return query
 
 
-def ingest_stream(stream: DataFrame, table_path: str, checkpoint: str, order: list[str]) -> StreamingQuery:
-    """Add rows with a new fingerprint to the table; equal to ``insert_if_new`` over all batches."""
-    schema = stream.schema
+def ingest_stream(stream: DataFrame, table: Store, checkpoint: str, order: list[str]) -> StreamingQuery:
+    """Add rows with a new key to the table; equal to ``insert_if_new`` over all batches.
+
+    A batch reads the table's filters and of the stored rows only buckets whose filter answers. The table keeps the number of
+    the last batch, so a batch that is retried after a failure adds nothing twice.
+    """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        stored = read_batches(batch.sparkSession, table_path, schema)
-        # A retried batch must not meet its own earlier output.
-        write_batch(ingest.insert_if_new(batch, stored.where(F.col(BATCH) < batch_id), order), table_path, batch_id)
+        if not table.done(checkpoint, batch_id):
+            table.insert_new(stage(ingest.first_per_fingerprint(batch, order), "batch"), checkpoint, batch_id)
 
     return run(stream, checkpoint, each)
 
@@ -65,11 +71,25 @@ def dedupe_stream(stream: DataFrame, time: str, delay: str = "1 day") -> DataFra
     return with_watermark(stream, time, delay).dropDuplicatesWithinWatermark(["fingerprint"])
 
 
-def cursor_stream(stream: DataFrame, cursors: DataFrame, key: Column, path: str, checkpoint: str) -> StreamingQuery:
-    """Rows newer than their own cursor. A watermark is one time for all keys, cursors are not."""
+def cursor_stream(stream: DataFrame, cursors: Store, key: Column, path: str, checkpoint: str) -> StreamingQuery:
+    """Rows newer than their own cursor, which then moves to the newest row let through.
+
+    A watermark is one time for all keys, cursors are not; so they are a stored table (cursor_key, cursor_value, updated_at)
+    that every batch looks up and moves on. The newest times are partial maxima, and no task gathers the rows of a key. A
+    batch's rows are written before its cursors; one that has moved them is done and is not worked on again.
+    """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        write_batch(ingest.cursor_filter(batch, cursors, key), path, batch_id)
+        if cursors.done(checkpoint, batch_id):
+            return
+        known = cursors.read()
+        passed = stage(ingest.cursor_filter(batch, known, key).withColumn("_key", key), "passed")
+        write_batch(passed.drop("_key"), path, batch_id)
+        newest = passed.where("_key is not null and posted_ts is not null").groupBy(F.col("_key").alias("cursor_key")).agg(F.max("posted_ts").alias("newest"))
+        moved = newest.select("cursor_key", keys.iso_utc(F.col("newest")).alias("cursor_value"))
+        asked = known.join(moved.select("cursor_key"), "cursor_key", "left_semi")
+        at = F.current_timestamp().cast("timestamp_ntz")
+        cursors.upsert(ingest.cursor_upsert(asked, moved, at), checkpoint, batch_id)
 
     return run(stream, checkpoint, each)
 
@@ -78,10 +98,36 @@ def newest_per_key(stream: DataFrame, key: Column, time: str) -> DataFrame:
     return stream.where(F.col(time).isNotNull()).groupBy(key.alias("cursor_key")).agg(F.max(time).alias("newest"))
 
 
-def sliding_counts(stream: DataFrame, key: str, time: str, width: str = "60 seconds", slide: str = "1 second", delay: str = "1 day") -> DataFrame:
-    """Events per key and sliding window; follows the exact rolling report to the slide."""
-    windows = with_watermark(stream, time, delay).groupBy(F.window("event_time", width, slide).alias("w"), key).agg(F.count("*").alias("events"))
-    return windows.select(key, F.col("w.start").cast("timestamp_ntz").alias("window_start"), "events")
+def panes(stream: DataFrame, key: str, time: str, delay: str = "1 day") -> DataFrame:
+    """Events per key and second: the one state row that each of them needs, however wide the windows are."""
+    found = with_watermark(stream, time, delay).groupBy(F.window("event_time", "1 second").alias("w"), key).agg(F.count("*").alias("n"))
+    return found.select(key, F.unix_seconds("w.start").alias("second"), "n")
+
+
+def sliding_from_panes(found: DataFrame, key: str, width: int = 60) -> DataFrame:
+    """(key, from_second, to_second, events): how many events the window [t, t + width) of every second t holds.
+
+    A pane raises the count of the windows that begin ``width`` - 1 seconds before it and lowers it after its own; between such
+    changes the count stands. Running sums are split by hour, a pane that reaches into the next hour counts there from its
+    start on, so no task gathers a key. Windows without events are left out.
+    """
+    first, after = F.col("second") - (width - 1), F.col("second") + 1
+    hour = lambda t: F.floor(t / HOUR)
+    change = lambda t, n: F.struct(hour(t).alias("hour"), t.cast("long").alias("t"), n.alias("d"))
+    starts = F.transform(F.sequence(hour(first) + 1, F.greatest(hour(after), hour(first) + 1)), lambda h: change(h * HOUR, F.col("n")))
+    none = F.array().cast("array<struct<hour:bigint,t:bigint,d:bigint>>")
+    changes = F.concat(F.array(change(first, F.col("n")), change(after, -F.col("n"))), F.when(hour(after) > hour(first), starts).otherwise(none))
+    told = found.select(key, F.explode(changes).alias("c")).select(key, "c.*").groupBy(key, "hour", "t").agg(F.sum("d").alias("d"))
+    in_hour = Window.partitionBy(key, "hour").orderBy("t")
+    counted = told.select(key, F.col("t").alias("from_second"), F.coalesce(F.lead("t").over(in_hour), (F.col("hour") + 1) * HOUR).alias("to_second"), F.sum("d").over(in_hour).alias("events"))
+    return counted.where("events > 0 and to_second > from_second")
+
+
+def sliding_counts(found: DataFrame, key: str, width: int = 60) -> DataFrame:
+    """(key, window_start, events), one row per window that holds events."""
+    seconds = F.sequence(F.col("from_second"), F.col("to_second") - 1)
+    start = F.timestamp_add("SECOND", F.col("s"), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    return sliding_from_panes(found, key, width).select(key, "events", F.explode(seconds).alias("s")).select(key, start.alias("window_start"), "events")
 
 
 def daily_counts_stream(stream: DataFrame, time: str, delay: str = "1 day") -> DataFrame:

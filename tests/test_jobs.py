@@ -11,7 +11,6 @@ from gripelode.operators import candidates as cand
 from gripelode.operators import ingest, observe, publish, seeds
 from gripelode.operators.rank import positions
 from gripelode.sources import payloads
-from gripelode.streaming import jobs
 
 T0 = datetime(2024, 1, 1)
 LANDED = "fingerprint string, ingest_seq long, scraped_at timestamp_ntz, comment_text string"
@@ -157,20 +156,6 @@ def test_exports_write_one_day(spark, tmp_path):
     assert spark.read.json(f"{tmp_path}/page_seed").first().slug == "p-a"
 
 
-def test_stream_ingest_over_split_files_equals_batch(spark, tmp_path):
-    data = landed(60)
-    for part in range(3):
-        spark.createDataFrame(data[part * 20:(part + 1) * 20], LANDED).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    order = ["ingest_seq"]
-    schema = spark.createDataFrame([], LANDED).schema
-    for _ in range(2):  # the second run finds nothing new
-        stream = jobs.read_landed(spark, str(tmp_path / "in"), schema, files_per_batch=1)
-        jobs.ingest_stream(stream, str(tmp_path / "table"), str(tmp_path / "cp"), order)
-    got = jobs.read_batches(spark, str(tmp_path / "table"), schema)
-    assert sorted(r.fingerprint for r in got.collect()) == sorted({r[0] for r in data})
-    assert {r.batch_id for r in got.collect()} <= {0, 1, 2}
-
-
 def test_json_walk_survives_broken_and_deep_bodies(spark):
     bodies = [("ok", '{"a": [{"b": 1}, {"c": {}}]}'), ("broken", "{"), ("deep", "[" * 20_000 + "]" * 20_000), ("none", None)]
     found = payloads.json_objects(spark.createDataFrame(bodies, "name string, body string")).orderBy("name", "pos").collect()
