@@ -1,7 +1,4 @@
-"""Text normalisation and extraction as Column expressions.
-
-Everything here stays in the JVM except the rare-entity fallback of ``strip_html``.
-"""
+"""Text normalisation and extraction as Column expressions; nothing here leaves the JVM."""
 
 from __future__ import annotations
 
@@ -9,22 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from gripelode import lexicon as lx
+from gripelode.functions.entities import unescape
 
 # Java's \s is ASCII; this class also covers the Unicode blanks.
 WS = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
 # The same class as single characters, for trimming.
 BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
-# Entities decoded in the JVM; a text holding any other entity takes the Arrow path.
-COMMON_ENTITIES = {
-    "lt": "<", "gt": ">", "quot": '"', "apos": "'", "#39": "'", "#x27": "'", "nbsp": "\u00a0",
-    "middot": "\u00b7", "copy": "\u00a9", "reg": "\u00ae", "hellip": "\u2026", "ndash": "\u2013",
-    "mdash": "\u2014", "lsquo": "\u2018", "rsquo": "\u2019", "ldquo": "\u201c", "rdquo": "\u201d",
-}
-
 
 def text_of(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
@@ -58,31 +48,6 @@ def or_default(c: Column, default: str | Column) -> Column:
     return F.coalesce(F.nullif(c, F.lit("")), F.lit(default) if isinstance(default, str) else default)
 
 
-@F.pandas_udf(StringType())
-def _unescape_rare(texts):
-    from html import unescape
-
-    return texts.map(unescape, na_action="ignore")
-
-
-# Evaluated once: Spark does not copy a non-deterministic expression into pushed-down filters.
-_unescape_rare = _unescape_rare.asNondeterministic()
-
-
-def unescape(c: Column) -> Column:
-    known = "|".join([*COMMON_ENTITIES, "amp"])
-    # The ampersand comes last, so that nothing is decoded twice.
-    table = F.arrays_zip(words([*COMMON_ENTITIES, "amp"]).alias("name"), words([*COMMON_ENTITIES.values(), "&"]).alias("char"))
-
-    def common(t: Column) -> Column:
-        decoded = F.aggregate(table, t, lambda acc, e: F.replace(acc, F.concat(F.lit("&"), e["name"], F.lit(";")), e["char"]))
-        return F.when(t.contains("&"), decoded).otherwise(t)
-
-    # Python only receives the texts that need it; the others reach it as NULL.
-    rare = let(c, lambda t: F.when(t.rlike(f"&(?!(?:{known});)[#A-Za-z]"), t))
-    return F.coalesce(_unescape_rare(rare), let(c, common))
-
-
 def strip_html(c: Column) -> Column:
     return clean(unescape(F.regexp_replace(clean(c), "<[^>]+>", " ")))
 
