@@ -136,6 +136,21 @@ def json_walk_objects(spark, sf):
     return objects.groupBy("payload_id", "depth").agg(F.count("*").alias("objects"))
 
 
+_NODE_ID = "CASE WHEN event_id % 29 <> 0 THEN source_item_id END"
+
+
+@query("json_walk_order", f"""
+SELECT payload_id, pos, 5 AS depth, {_NODE_ID} AS job_id, url, NULL AS code, NULL AS total FROM x_nodes
+UNION ALL SELECT payload_id, pos - 1, 4, NULL, NULL, NULL, NULL FROM x_nodes
+UNION ALL SELECT payload_id, pos + 1, 6, NULL, NULL, country, NULL FROM x_nodes
+UNION ALL SELECT payload_id, unnest([0, 1, 2]), unnest([0, 1, 2]), NULL, NULL, NULL, unnest([NULL, NULL, '1']) FROM (SELECT DISTINCT payload_id FROM x_nodes)""")
+def json_walk_order(spark, sf):
+    """Every object at its place in the walk, told apart by what only its own level holds."""
+    objects = payloads.json_objects(landing.job_node_payloads(reviews(spark, sf)))
+    held = {"job_id": "$.jobId", "url": "$.canonicalUrl", "code": "$.code", "total": "$.total"}
+    return objects.select("payload_id", F.col("pos").cast("long").alias("pos"), "depth", *[F.get_json_object("object", path).alias(name) for name, path in held.items()])
+
+
 @query("norm_job_nodes", "SELECT payload_id, query, title, description, link, guid, \"pubDate\" FROM x_job_items")
 def norm_job_nodes(spark, sf):
     items = payloads.job_nodes(payloads.json_objects(landing.job_node_payloads(reviews(spark, sf))))

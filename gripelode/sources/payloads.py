@@ -6,13 +6,15 @@ plus ``posted_ts``. Gates are applied; cursors, caps and fingerprints come later
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
 from gripelode import lexicon as lx
 from gripelode.functions import gates, keys, text
 from gripelode.operators.cluster import top_rows
+from gripelode.session import stage
+
+MAX_DEPTH = 1_000  # objects and arrays within each other that Spark's JSON parser reads
 
 OUT = [
     "source", "source_item_id", "entity_id", "entity_name", "category", "reviewer_name", "rating", "comment_text",
@@ -207,41 +209,69 @@ def dataset_items(payloads: DataFrame) -> DataFrame:
     )
 
 
-@F.pandas_udf(ArrayType(StructType().add("pos", IntegerType()).add("depth", IntegerType()).add("object", StringType())))
-def _objects(bodies):
-    """All JSON objects of each body, parents first, the last child before its siblings.
+def _kind(value: Column) -> Column:
+    """The first character of a value's JSON: { for objects, [ for arrays."""
+    return F.substring(F.to_json(value), 1, 1)
+
 
-    A body that is no JSON, or nested deeper than the parser reads, has none.
+def _children(kind: Column, body: Column) -> Column:
+    """The objects and arrays directly inside an object or array: (i, kind, body) in document order.
+
+    Their bodies are read as text, which keeps the order of names, and a second time as variants, which tell an object from a
+    string that looks like one.
     """
-    import json
+    texts, values = F.from_json(body, "map<string,string>"), F.from_json(body, "map<string,variant>")
+    items, variants = F.from_json(body, "array<string>"), F.from_json(body, "array<variant>")
+    both = F.when(kind == "{", F.arrays_zip(F.map_values(texts).alias("body"), F.transform(F.map_values(values), _kind).alias("kind")))
+    both = both.otherwise(F.arrays_zip(items.alias("body"), F.transform(variants, _kind).alias("kind")))
+    numbered = F.transform(both, lambda x, i: F.struct(i.alias("i"), x["kind"].alias("kind"), x["body"].alias("body")))
+    return F.filter(numbered, lambda x: x["kind"].isin("{", "["))
 
-    def walk(root):
-        waiting = [(0, root)]
-        while waiting:
-            depth, node = waiting.pop()
-            if isinstance(node, dict):
-                yield depth, node
-            if isinstance(node, (dict, list)):
-                children = node.values() if isinstance(node, dict) else node
-                waiting.extend((depth + 1, child) for child in children)
 
-    def read(body):
-        try:
-            nodes = enumerate(walk(json.loads(body)))
-            return [{"pos": i, "depth": d, "object": json.dumps(o, ensure_ascii=False)} for i, (d, o) in nodes]
-        except (TypeError, ValueError, RecursionError):
-            return []
+def _two_levels(kind: Column, body: Column) -> Column:
+    """Children and their children: (path from here, kind, body); a path's numbers fall, so that it sorts in visiting order."""
+    def and_below(c: Column) -> Column:
+        own = F.struct(F.array(-c["i"]).alias("path"), c["kind"].alias("kind"), c["body"].alias("body"))
+        return F.concat(F.array(own), F.transform(_children(c["kind"], c["body"]), lambda g: F.struct(F.array(-c["i"], -g["i"]).alias("path"), g["kind"].alias("kind"), g["body"].alias("body"))))
 
-    return bodies.map(read)
+    return F.flatten(F.transform(_children(kind, body), and_below))
 
 
 def json_objects(payloads: DataFrame) -> DataFrame:
-    """Every JSON object at any depth of ``body``, one row each, in visiting order.
+    """Every JSON object at any depth of ``body``, one row each: pos, depth, object (its JSON).
 
-    Built-in JSON functions need a fixed depth, so the walk is an Arrow function over one payload.
+    ``pos`` numbers a payload's objects, parents first and the last child before its siblings. The walk goes down two
+    levels at a time; what it finds is staged and gives the next ones, until there are no objects or arrays below. Bodies that cannot be read give no
+    rows; ``unreadable`` lists them. A body's objects are numbered by one window, which holds no more than that one row gave.
     """
     keep = [c for c in payloads.columns if c != "body"]
-    return payloads.select(*keep, F.explode(_objects("body")).alias("o")).select(*keep, "o.*")
+    readable = payloads.where(F.try_parse_json("body").isNotNull())
+    kind = F.substring(F.btrim("body", F.lit(" \t\r\n")), 1, 1)
+    # Numbered once and staged, a payload keeps its number however often a task runs.
+    root = readable.select(*keep, F.monotonically_increasing_id().alias("_payload"), F.array().cast("array<int>").alias("_path"), kind.alias("_kind"), F.col("body").alias("_body"))
+    level = stage(root.where(F.col("_kind").isin("{", "[")), "level")
+    found, depth = level, 0
+    while True:
+        below = level.select(*keep, "_payload", "_path", F.explode(_two_levels(F.col("_kind"), F.col("_body"))).alias("c"))
+        rows = stage(below.select(*keep, "_payload", F.concat("_path", "c.path").alias("_path"), F.col("c.kind").alias("_kind"), F.col("c.body").alias("_body")), "level")
+        found, depth = found.unionByName(rows), depth + 2
+        level = rows.where(F.size("_path") == depth)
+        if level.isEmpty():
+            break
+    order = Window.partitionBy("_payload").orderBy("_path")
+    objects = found.where("_kind = '{'").withColumn("pos", F.row_number().over(order) - 1)
+    return objects.select(*keep, "pos", F.size("_path").alias("depth"), F.col("_body").alias("object"))
+
+
+def unreadable(payloads: DataFrame) -> DataFrame:
+    """Payloads whose body ``json_objects`` cannot read, with a ``reason``."""
+    body = F.col("body")
+    opened = F.length(body) - F.length(F.translate(body, "{[", ""))
+    reason = (
+        F.when(F.trim(text.text_of(body)) == "", "empty").when(F.from_json(body, "map<string,string>").isNotNull(), "a name twice in one object, or a value that is none")
+        .when(opened > MAX_DEPTH, "no JSON, or nested deeper than the parser reads").otherwise("no JSON")
+    )
+    return payloads.where(F.try_parse_json("body").isNull()).withColumn("reason", reason).drop("body")
 
 
 def job_nodes(objects: DataFrame) -> DataFrame:
