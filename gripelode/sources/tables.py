@@ -32,8 +32,14 @@ def _sql_list(values: list[str]) -> str:
     return "array(" + ", ".join("'" + v.replace("'", "\\'") + "'" for v in values) + ")"
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan of fewer tasks than there are cores, dealt out before costly work on its rows; any other as it is."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reviews_of(table(spark, sf_dir, "events"), table(spark, sf_dir, "part"))
+    return reviews_of(spread(table(spark, sf_dir, "events")), table(spark, sf_dir, "part"))
 
 
 def reviews_of(events: DataFrame, part: DataFrame) -> DataFrame:
