@@ -7,8 +7,23 @@ from pyspark.sql import functions as F
 
 from gripelode.functions.text import WS, clean, strip, text_of
 
-_ISO = r"^(\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:[.,]\d{1,6})?)?)?)(?:([+-])(\d{2}):?(\d{2}))?$"
-_RFC = r"^(?:[A-Za-z]{3}, )?(\d{1,2} [A-Z][a-z]{2} \d{4} \d{2}:\d{2}:\d{2}) (?:([+-])(\d{2}):?(\d{2}))$"
+# The text forms that are read, each taken apart by one match; unnamed pieces come out blank.
+_CLOCK = r"(?<h{0}>\d{{2}})(?:(?::(?<n{0}>\d{{2}})(?::(?<s{0}>\d{{2}})(?:[.,](?<f{0}>\d+))?)?)|(?:(?<p{0}>\d{{2}})(?:(?<t{0}>\d{{2}})(?:[.,](?<r{0}>\d+))?)?))?"
+_ISO = (
+    r"(?s)\A(?:(?<ya>\d{4})-(?<ma>\d{2})-(?<da>\d{2})|(?<yb>\d{4})(?<mb>\d{2})(?<db>\d{2})|(?<yc>\d{4})-W(?<wc>\d{2})(?:-(?<ec>\d))?|(?<yd>\d{4})W(?<wd>\d{2})(?<ed>\d)?)"
+    rf"(?:.{_CLOCK.format('a')}(?:(?<g>[+-]){_CLOCK.format('b')})?)?\z"
+)
+_ISO_PIECES = "${ya}${yb}${yc}${yd}|${ma}${mb}|${da}${db}|${wc}${wd}|${ec}${ed}|${ha}|${na}${pa}|${sa}${ta}|${fa}${ra}|${g}|${hb}|${nb}${pb}|${sb}${tb}|${fb}${rb}"
+_DAY = r"(?<d> ?[1-9]|\d{2})"
+_CLOCK_TEXT = r"(?<h>\d{1,2}):(?<n>\d{1,2}):(?<s>\d{1,2})"
+_PLAIN = rf"\A(?<y>\d{{4}})-(?<m>\d{{1,2}})-{_DAY}(?:\s+{_CLOCK_TEXT})?\z"
+_PLAIN_PIECES = "${y}|${m}|${d}|||${h}|${n}|${s}||||||"
+_MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
+_MAIL = (
+    rf"(?i)\A(?:mon|tue|wed|thu|fri|sat|sun),\s+{_DAY}\s+(?<m>{'|'.join(_MONTHS)})\s+(?<y>\d{{4}})\s+{_CLOCK_TEXT}"
+    r"\s+(?<g>[+-])(?<o>\d{2})(?::(?<u>[0-5]\d)(?::(?<v>[0-5]\d)(?:\.(?<w>\d{1,6}))?)?|(?<x>[0-5]\d)(?:(?<z>[0-5]\d)(?:\.(?<q>\d{1,6}))?)?)\z"
+)
+_MAIL_PIECES = "${y}|${m}|${d}|||${h}|${n}|${s}||${g}|${o}|${u}${x}|${v}${z}|${w}${q}"
 
 
 def sha1_id(length: int, *parts: Column) -> Column:
@@ -30,19 +45,47 @@ def epoch_micros(ts: Column) -> Column:
     return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
 
 
-def _shift(wall: Column, txt: Column, pattern: str) -> Column:
-    """Wall clock minus the numeric offset matched by groups 2 to 4; no offset means UTC."""
-    hours, minutes = (F.coalesce(F.regexp_extract(txt, pattern, g).try_cast("int"), F.lit(0)) for g in (3, 4))
-    sign = F.when(F.regexp_extract(txt, pattern, 2) == "-", -1).otherwise(1)
-    return F.timestamp_add("MINUTE", -sign * (hours * 60 + minutes), wall)
+def _assembled(pieces: Column) -> Column:
+    """UTC time of (year, month, day, week, weekday, hour, minute, second, fraction, sign and offset); null where it is none."""
+    def number(i: int) -> Column:
+        return F.coalesce(F.trim(F.get(pieces, F.lit(i))).try_cast("int"), F.lit(0))
+
+    def micros(i: int) -> Column:
+        return F.rpad(F.substring(F.get(pieces, F.lit(i)), 1, 6), 6, "0").cast("long")
+
+    month_text = F.lower(F.get(pieces, F.lit(1)))
+    month = F.when(month_text.isin(_MONTHS), F.array_position(F.array(*map(F.lit, _MONTHS)), month_text).cast("int")).otherwise(number(1))
+    calendar = F.format_string("%04d-%02d-%02d", number(0), month, number(2)).try_cast("date")
+    # The week that holds 4 January is the first one; a week of the year is right where its Thursday lies in it.
+    first = F.format_string("%04d-01-04", number(0)).try_cast("date")
+    weekday = F.when(F.get(pieces, F.lit(4)) == "", 1).otherwise(number(4))
+    monday = F.date_add(first, number(3) * 7 - 7 - F.weekday(first))
+    by_week = F.when((F.weekofyear(F.date_add(monday, 3)) == number(3)) & number(3).between(1, 53) & weekday.between(1, 7), F.date_add(monday, weekday - 1))
+    day = F.when(F.get(pieces, F.lit(3)) == "", calendar).otherwise(by_week)
+    right = (number(5) < 24) & (number(6) < 60) & (number(7) < 60) & (number(0) > 0)
+    clock = (number(5) * 3600 + number(6) * 60 + number(7)).cast("long") * 1_000_000 + micros(8)
+    offset = (number(10) * 3600 + number(11) * 60 + number(12)).cast("long") * 1_000_000 + micros(13)
+    shift = F.when(F.get(pieces, F.lit(9)) == "-", offset).otherwise(-offset)
+    # An offset is right below a day, whatever its minutes.
+    return F.when(right & (offset < 86_400_000_000), F.timestamp_add("MICROSECOND", clock + shift, day.cast("timestamp_ntz")))
 
 
 def parse_time(c: Column) -> Column:
-    """ISO text with or without an offset, plain date, or RFC-822 text; NULL for anything else."""
+    """ISO text (calendar or week dates, separated or compact, any fraction, offsets down to fractions of a second), plain
+    dates and times without leading zeros, or RFC-822 text with a weekday; NULL for anything else. No offset means UTC.
+
+    Forms are tried in this order, and the first one that gives a time counts.
+    """
     txt = F.replace(strip(text_of(c)), F.lit("Z"), F.lit("+00:00"))
-    iso = F.replace(F.regexp_extract(txt, _ISO, 1), F.lit(","), F.lit(".")).try_cast("timestamp_ntz")
-    rfc = F.try_to_timestamp(F.nullif(F.regexp_extract(txt, _RFC, 1), F.lit("")), F.lit("d MMM yyyy HH:mm:ss"))
-    return F.coalesce(_shift(iso, txt, _ISO), _shift(rfc.cast("timestamp_ntz"), txt, _RFC))
+
+    def read(pattern: str, pieces: str, t: Column) -> Column:
+        parts = F.split(F.regexp_replace(t, pattern, pieces), "[|]", -1)
+        return F.when(t.rlike(pattern), F.get(F.transform(F.array(parts), _assembled), F.lit(0)))
+
+    def first(t: Column) -> Column:
+        return F.coalesce(read(_ISO, _ISO_PIECES, t), read(_PLAIN, _PLAIN_PIECES, t), read(_MAIL, _MAIL_PIECES, t))
+
+    return F.get(F.transform(F.array(txt), first), F.lit(0))
 
 
 def iso_utc(ts: Column) -> Column:
