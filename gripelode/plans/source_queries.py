@@ -9,8 +9,9 @@ from gripelode import lexicon as lx
 from gripelode.operators import ingest
 from gripelode.operators import seeds as seed_ops
 from gripelode.plans import sql as S
-from gripelode.plans.registry import cte, query
-from gripelode.sources import landing, payloads
+from gripelode.plans.registry import CHECKS, cte, query
+from gripelode.session import stage
+from gripelode.sources import landing, payloads, union
 from gripelode.sources.tables import reviews, table
 
 SHOWN = ["source", "source_item_id", "entity_id", "entity_name", "category", "reviewer_name", "rating", "comment_text", "posted_at", "url", "country", "language"]
@@ -275,3 +276,46 @@ SELECT source, count(*) AS n FROM (
   UNION ALL SELECT source FROM x_snippets WHERE {S.market('snippet', 'source')}) GROUP BY 1""")
 def reviews_union(spark, sf):
     return ingest.canonical(all_sources(spark, sf), F.lit("2024-03-01 00:00:00").cast("timestamp_ntz")).groupBy("source").agg(F.count("*").alias("n"))
+
+
+def landed_payloads(spark, sf) -> DataFrame:
+    """Every review landed in every shape, and the given pages as product pages."""
+    revs = stage(reviews(spark, sf), "reviews")
+    return union.landed({
+        "play": landing.play_payloads(revs), "appstore": landing.appstore_payloads(revs), "community": landing.community_payloads(revs), "forum": landing.forum_payloads(revs),
+        "launch": landing.launch_payloads(revs), "atom": landing.atom_payloads(revs), "rss": landing.rss_payloads(revs), "dataset": landing.dataset_payloads(revs),
+        "job_nodes": landing.job_node_payloads(revs), "job_page": landing.job_search_pages(revs),
+        "market": landing.market_pages(table(spark, sf, "pages")).withColumns({"product_name": F.concat(F.lit("Page "), "page_id"), "category": F.lit(None).cast("string"), "body": F.col("html")}),
+    })
+
+
+def _jobs_sql(frm: str, guid: str = "guid", posted: str = '"pubDate"', category: str = "category") -> str:
+    return _review_sql(S.job("title || '. ' || description"), frm=frm, source="'upwork'", entity_id="query", entity_name="'Upwork - ' || query", reviewer_name="'client'",
+                       comment_text="title || '. ' || description", source_item_id=guid, posted_at=posted, url="link", category=category)
+
+
+cte("x_dataset_items", CHECKS["norm_dataset_json"].replace("SELECT category AS query", "SELECT category, category AS query"))
+cte("x_first_nodes", "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY payload_id, guid ORDER BY pos) AS seen FROM x_job_items) WHERE seen = 1")
+cte("x_page_items", f"""
+  SELECT query, 'Upwork market signal: ' || query AS title, left(chunk, 2000) AS description, sha1('upwork-jina:' || query || ':' || pos || ':' || left(chunk, 220)) AS guid,
+    'https://www.upwork.com/nx/search/jobs/?q=' || {_q('query')} || '&sort=recency' AS link FROM (
+    SELECT category || '-' || (event_id // {landing.PAGE}) AS query, event_id // {landing.PAGE} AS page, comment_text || ' fixed-price, needs a long description. ' || event_id AS chunk,
+      row_number() OVER (PARTITION BY category, event_id // {landing.PAGE} ORDER BY event_id) - 1 AS pos FROM x_reviews)
+  WHERE page % 5 <> 4 AND length(chunk) >= 120 AND {S.job('chunk')}""")
+_ALL = [CHECKS[n] for n in ("norm_play", "norm_appstore", "norm_reddit", "norm_forum_chunks", "norm_launch_chunks", "norm_atom", "norm_jobs", "norm_market_pages", "signal_rows")]
+_ALL += [_jobs_sql("x_dataset_items", "CASE WHEN guid = '' THEN sha1(query || '|' || title || '|' || link) ELSE guid END"), _jobs_sql("x_first_nodes"), _jobs_sql("x_page_items", posted="''", category="'Operations'")]
+cte("x_all_rows", " UNION ALL BY NAME ".join(f"SELECT * FROM ({sql})" for sql in _ALL))
+_FP = S.fp("source", "source_item_id", "entity_id", "reviewer_name", "comment_text", "posted_at")
+
+
+@query("reviews_union_all", f"""
+SELECT source, source_item_id, entity_id, entity_name, category, reviewer_name, rating, posted_at, url, country, language, comment_text, {_FP} AS fingerprint
+FROM (SELECT * REPLACE ({S.clean('comment_text')} AS comment_text, coalesce(nullif(trim(category), ''), 'Unknown') AS category) FROM x_all_rows)""")
+def reviews_union_all(spark, sf):
+    """Canonical rows of all twelve shapes from one landed table, and of demand signals."""
+    queries = table(spark, sf, "part").select(F.concat_ws(" ", "p_name", "p_partkey").alias("query"), F.lit("Parts").alias("category"))
+    seeds = seed_ops.market_seeds(table(spark, sf, "supplier"))
+    there = seeds.where(F.col("s_suppkey") % 5 == 0).select("source", "url")
+    signals = payloads.market_signals(seeds, there, "HTTP 503").unionByName(payloads.job_reviews(payloads.job_query_signals(queries)))
+    rows = ingest.canonical(union.normalised(landed_payloads(spark, sf), signals), F.lit("2024-03-01 00:00:00").cast("timestamp_ntz"))
+    return rows.select(*SHOWN, "fingerprint")

@@ -34,12 +34,14 @@ def shared_dir(spark: SparkSession) -> str:
     return _local.setdefault(context.applicationId, tempfile.mkdtemp(prefix="gripelode-"))
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write a frame that several branches read to the shared folder and read it back.
 
-    Unlike a cached frame it survives lost executors, and each branch reads only its columns.
+    Unlike a cached frame it survives lost executors, and each branch reads only its columns, and with ``by`` only the
+    folders of the values that it asks for.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/gripelode/{uuid.uuid4().hex}/{name}"
-    df.write.mode("errorifexists").parquet(path)
+    writer = df.write.mode("errorifexists")
+    (writer.partitionBy(by) if by else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

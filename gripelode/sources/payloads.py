@@ -307,15 +307,16 @@ def job_nodes(objects: DataFrame) -> DataFrame:
     )
 
 
-def first_items(items: DataFrame, payload: list[str], order: list[Column], limit: int) -> DataFrame:
-    """Per payload the first item of every id, link or title, then at most ``limit`` items."""
+def first_items(items: DataFrame, payload: list[str], order: list[Column], limit: int | None) -> DataFrame:
+    """Per payload the first item of every id, link or title, then at most ``limit`` items, or all of them."""
     named = items.withColumn("dedupe_key", F.coalesce(*[F.nullif(F.col(c), F.lit("")) for c in ("guid", "link", "title")]))
     named = named.where(F.col("dedupe_key").isNotNull())
-    return top_rows(top_rows(named, [*payload, "dedupe_key"], order, 1, "_first"), payload, order, limit, "item_rank").drop("_first")
+    first = top_rows(named, [*payload, "dedupe_key"], order, 1, "_first").drop("_first")
+    return first if limit is None else top_rows(first, payload, order, limit, "item_rank")
 
 
-def job_page_chunks(pages: DataFrame, limit: int, compat: bool = False) -> DataFrame:
-    """(query, body: job search page as text) to job items.
+def job_page_chunks(pages: DataFrame, limit: int | None, compat: bool = False) -> DataFrame:
+    """(query, body: job search page as text) to job items, at most ``limit`` of a query or all.
 
     ``compat`` collapses the page before splitting, which makes it one chunk.
     """
@@ -323,8 +324,12 @@ def job_page_chunks(pages: DataFrame, limit: int, compat: bool = False) -> DataF
     open_pages = pages.where(~gates.blocked(F.col("body")))
     found = open_pages.select("query", F.posexplode(text.blocks(body)).alias("pos", "chunk")).where(gates.job_chunk(F.col("chunk")))
     # Blocks at the same place of two pages of one query follow their text.
-    return top_rows(found, ["query"], [F.col("pos").asc(), F.col("chunk").asc()], limit, "item_rank").select(
-        "query", "item_rank", F.concat(F.lit("Upwork market signal: "), "query").alias("title"), F.substring("chunk", 1, 2000).alias("description"),
+    if limit is None:
+        taken, rank = found, []
+    else:
+        taken, rank = top_rows(found, ["query"], [F.col("pos").asc(), F.col("chunk").asc()], limit, "item_rank"), ["item_rank"]
+    return taken.select(
+        "query", *rank, F.concat(F.lit("Upwork market signal: "), "query").alias("title"), F.substring("chunk", 1, 2000).alias("description"),
         _url(JOB_SEARCH, F.col("query")).alias("link"), _chunk_id("upwork-jina").alias("guid"), F.lit("").alias("pubDate"), F.lit("jina_proxy").alias("provider"),
     )
 
