@@ -77,28 +77,26 @@ COMMUNITY_GONE_TEXTS = ["forbidden", "not found", "too many requests", "403", "4
 STATIC_SEED_TYPES = ["apps", "hackernews", "producthunt", "g2", "capterra", "upwork"]
 
 # --- fixed values: starter seeds -------------------------------------------------------------
-STARTER_COMMUNITIES = """
-startups entrepreneur smallbusiness juststart growmybusiness indiehackers buildinpublic sideproject
-startupideas startup techstartups solopreneur entrepreneurridealong smallbusinessowners business
-saas microsaas saasgrowth saasindia saastools b2bsaas saasmarketing software startupmarketing appideas
-freelance freelancing antiwork jobs cscareerquestions work remote digitalnomad agencylife remotejobs
-workonline forhire hiring overemployed careers
-productivity notion obsidianmd excel productivitytools getdisciplined onenote evernote taskmanagement
-selfimprovement automation
-marketing sales growthhacking ecommerce shopify seo bigseo ppc dropshipping etsy socialmedia
-socialmediamarketing emailmarketing content_marketing copywriting affiliate_marketing salesops
-customerexperience
-webdev learnprogramming sysadmin devops dataisbeautiful programming coding technology frontend backend
-python javascript reactjs node cloudcomputing aws machinelearning datascience dataanalytics analytics
-artificial cybersecurity linux softwarearchitecture
-personalfinance accounting bookkeeping tax smallbusinessuk financialindependence operations
-projectmanagement legaladvice legaladviceindia crm hr
-developersindia indianstartup indiainvestments smallbusinessindia entrepreneurindia india desitrading
-india_tax indianjobs startupsindia
-teachers homeautomation urbanfarming warehousing travelhacks photography healthcare resumes
-careerguidance androidapps iphone apps offmychest confession findapath wordpress nocode
-customer_success edtech logistics
-""".split()
+STARTER_COMMUNITIES = [
+    "startups", "entrepreneur", "smallbusiness", "juststart", "growmybusiness", "indiehackers", "buildinpublic",
+    "sideproject", "startupideas", "startup", "techstartups", "solopreneur", "entrepreneurridealong",
+    "smallbusinessowners", "business", "saas", "microsaas", "saasgrowth", "saasindia", "saastools", "b2bsaas",
+    "saasmarketing", "software", "startupmarketing", "appideas", "freelance", "freelancing", "antiwork", "jobs",
+    "cscareerquestions", "work", "remote", "digitalnomad", "agencylife", "remotejobs", "workonline", "forhire",
+    "hiring", "overemployed", "careers", "productivity", "notion", "obsidianmd", "excel", "productivitytools",
+    "getdisciplined", "onenote", "evernote", "taskmanagement", "selfimprovement", "automation", "marketing", "sales",
+    "growthhacking", "ecommerce", "shopify", "seo", "bigseo", "ppc", "dropshipping", "etsy", "socialmedia",
+    "socialmediamarketing", "emailmarketing", "content_marketing", "copywriting", "affiliate_marketing", "salesops",
+    "customerexperience", "webdev", "learnprogramming", "sysadmin", "devops", "dataisbeautiful", "programming",
+    "coding", "technology", "frontend", "backend", "python", "javascript", "reactjs", "node", "cloudcomputing", "aws",
+    "machinelearning", "datascience", "dataanalytics", "analytics", "artificial", "cybersecurity", "linux",
+    "softwarearchitecture", "personalfinance", "accounting", "bookkeeping", "tax", "smallbusinessuk",
+    "financialindependence", "operations", "projectmanagement", "legaladvice", "legaladviceindia", "crm", "hr",
+    "developersindia", "indianstartup", "indiainvestments", "smallbusinessindia", "entrepreneurindia", "india",
+    "desitrading", "india_tax", "indianjobs", "startupsindia", "teachers", "homeautomation", "urbanfarming",
+    "warehousing", "travelhacks", "photography", "healthcare", "resumes", "careerguidance", "androidapps", "iphone",
+    "apps", "offmychest", "confession", "findapath", "wordpress", "nocode", "customer_success", "edtech", "logistics",
+]
 STARTER_APPS = [
     ("Evernote", "com.evernote", "281796108", "Productivity"),
     ("Todoist", "com.todoist", "572688870", "Productivity"),
@@ -184,3 +182,11 @@ JOB_CATEGORY_RULES = [
     ("seo", "Marketing"), ("social", "Marketing"), ("shopify", "Ecommerce"), ("inventory", "Operations"),
     ("recruit", "HR"), ("data", "Operations"),
 ]
+
+# --- fixed values: patterns of forum pages ---------------------------------------------------
+FORUM_ROW = r"""(?is)<tr[^>]*class=['"][^'"]*athing[^'"]*['"][^>]*>.*?</tr>"""
+FORUM_TITLE = r"""(?is)<span[^>]+class=['"]titleline['"][^>]*>\s*<a[^>]+href=['"]([^'"]+)['"][^>]*>(.*?)</a>"""
+FORUM_ROW_ID = r"""(?i)id=['"](\d+)['"]"""
+FORUM_COMMENT = r"""(?is)<span[^>]+class=['"]commtext[^'"]*['"][^>]*>(.*?)</span>"""
+FORUM_NEW_COMMENT = r"""(?is)<tr[^>]+class=['"]athing['"][^>]+id=['"](\d+)['"][^>]*>.*?<span[^>]+class=['"]onstory['"][^>]*>.*?<a[^>]+href=['"]([^'"]+)['"][^>]*>(.*?)</a>.*?<div[^>]+class=['"]comment['"][^>]*>\s*<div[^>]+class=['"]commtext[^'"]*['"][^>]*>(.*?)</div>"""
+# --- end of the fixed values -----------------------------------------------------------------

@@ -72,6 +72,16 @@ def latest_snapshot(history: DataFrame, at: str = "taken_at") -> DataFrame:
     return history.agg(F.max_by(F.struct(*history.columns), at).alias("r")).select("r.*")
 
 
+def write_health(snapshot: DataFrame, path: str) -> None:
+    """Adds a health row to the history under ``path`` and makes it the latest one, which readers find by itself.
+
+    The history comes first: a run that dies in between leaves a latest row that is one snapshot old, never a broken one.
+    """
+    row = snapshot if "taken_at" in snapshot.columns else snapshot.withColumn("taken_at", F.current_timestamp())
+    row.write.mode("append").json(f"{path}/history")
+    latest_snapshot(snapshot.sparkSession.read.json(f"{path}/history")).coalesce(1).write.mode("overwrite").json(f"{path}/latest")
+
+
 def budget_flags(days: DataFrame, ledger: DataFrame, budget: float) -> DataFrame:
     """Per day whether the spend booked for it has reached the budget; days without entries spent 0."""
     spent = ledger.groupBy("ledger_date").agg(F.sum("total_inr").alias("_spent"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gripelode import lexicon as lx
@@ -300,34 +300,37 @@ def store_id_match(results: DataFrame) -> DataFrame:
     return results.groupBy("query_name").agg(F.min_by("track_id", rank).alias("store_id"))
 
 
-def merge_market_seeds(existing: DataFrame, apps: DataFrame, fallback: DataFrame, url_prefix: str, min_rows: int) -> DataFrame:
-    """Existing seeds, filled up to ``min_rows`` from app names and then fallback products.
+def merge_market_seeds(existing: DataFrame, apps: DataFrame, fallback: DataFrame, url_prefix: str, min_rows: int | None = None) -> DataFrame:
+    """Existing seeds, then app names, then fallback products; with ``min_rows`` only filled up to so many rows.
 
-    ``existing``: pos, product_name, url, category, enabled; ``apps`` and ``fallback``: pos, name,
-    category, enabled. The first row per URL (or name) wins, ignoring case.
+    ``existing``: pos, product_name, url, category, enabled; ``apps`` and ``fallback``: pos, name, category, enabled. The first
+    row per name and the first per URL wins, ignoring case; ``prio`` says where a row is from, and rows follow (prio, pos).
+    Existing seeds always stay. Two shuffles and, with ``min_rows``, a top-k; fallback products need no rule of their own, since
+    they come last.
     """
     flag = F.when(F.col("enabled"), "1").otherwise("0")
-    kept = existing.select(
-        F.lit(0).alias("prio"), "pos", text.or_default(text.clean(F.col("product_name")), "Unknown Product").alias("product_name"),
-        text.clean(F.col("url")).alias("url"), text.or_default(text.clean(F.col("category")), "Unknown").alias("category"), flag.alias("enabled"),
-    ).where(F.col("url") != "")
-    kept = _first_by_key(kept, F.lower("url"), ["prio", "pos"])
-
-    def named(df: DataFrame, prio: int) -> DataFrame:
-        return df.select(
-            F.lit(prio).alias("prio"), "pos", text.clean(F.col("name")).alias("product_name"),
-            text.or_default(text.clean(F.col("category")), "Unknown").alias("category"), flag.alias("enabled"),
-        ).where(F.col("product_name") != "")
-
-    own = _first_by_key(named(apps, 1), F.lower("product_name"), ["prio", "pos"])
-    own_count = own.agg(F.count("*")).scalar()
-    names = _first_by_key(own.unionByName(named(fallback, 2).where(own_count < min_rows)), F.lower("product_name"), ["prio", "pos"])
-    derived = names.withColumn("url", F.concat(F.lit(url_prefix), text.query_encode(F.col("product_name"))))
-    new = _first_by_key(derived.select(*kept.columns), F.lower("url"), ["prio", "pos"])
-    new = new.join(kept.select(F.lower("url").alias("_known")), F.lower("url") == F.col("_known"), "left_anti")
-    ranked = positions(new, [], [F.col("prio"), F.col("pos")], F.col("prio") * F.lit(1 << 40) + F.floor(F.col("pos") / BUCKET))
-    filled = ranked.where(F.col("position") < F.lit(min_rows) - kept.agg(F.count("*")).scalar()).drop("position")
-    return kept.unionByName(filled)
+
+    def rows(df: DataFrame, prio: int, name: Column, url: Column | None) -> DataFrame:
+        made = df.select(
+            F.lit(prio).alias("prio"), "pos", name.alias("product_name"), text.or_default(text.clean(F.col("category")), "Unknown").alias("category"), flag.alias("enabled"),
+            *([url.alias("url")] if url is not None else []),
+        )
+        if url is not None:
+            return made.withColumn("_name", F.concat(F.lit("url "), F.lower("url"))).where(F.col("url") != "")
+        derived = made.withColumn("url", F.concat(F.lit(url_prefix), text.query_encode(F.col("product_name"))))
+        return derived.withColumn("_name", F.concat(F.lit("name "), F.lower("product_name"))).where(F.col("product_name") != "")
+
+    name = text.clean(F.col("name"))
+    kept = rows(existing, 0, text.or_default(text.clean(F.col("product_name")), "Unknown Product"), text.clean(F.col("url")))
+    every = kept.unionByName(rows(apps, 1, name, None)).unionByName(rows(fallback, 2, name, None))
+    order = [F.col("prio"), F.col("pos")]
+    first = every.withColumn("_place", F.row_number().over(Window.partitionBy("_name").orderBy(*order))).where("_place = 1")
+    first = first.withColumn("_place", F.row_number().over(Window.partitionBy(F.lower("url")).orderBy(*order))).where("_place = 1")
+    merged = first.select("prio", "pos", "product_name", "url", "category", "enabled")
+    if min_rows is None:
+        return merged
+    merged = stage(merged, "merged")
+    return merged.where("prio = 0").unionByName(merged.orderBy(*order).limit(min_rows).where("prio > 0"))
 
 
 def seed_summary(apps: DataFrame) -> DataFrame:

@@ -209,6 +209,13 @@ def seed_cross(spark, sf):
     return seeds.phrase_product(names, "task", lx.JOB_VERBS, lx.JOB_DOMAINS).select("query")
 
 
+@query("seed_cross_store", f"""
+SELECT s_name || ' ' || term || ' ' || suffix AS query FROM supplier, (SELECT unnest({S.arr(lx.STORE_QUERY_TERMS)}) AS term), (SELECT unnest({S.arr(lx.STORE_QUERY_SUFFIXES)}) AS suffix)""")
+def seed_cross_store(spark, sf):
+    """Store searches for every supplier: each search term with each suffix."""
+    return seeds.phrase_product(table(spark, sf, "supplier"), "s_name", lx.STORE_QUERY_TERMS, lx.STORE_QUERY_SUFFIXES).select("query")
+
+
 cte("x_topics", f"SELECT p_partkey, p_name || ' ' || ({S.arr(lx.JOB_TASKS)})[p_partkey % 21 + 1] || ' ' || ({S.arr(lx.JOB_DOMAINS)})[p_partkey % 14 + 1] AS query FROM part")
 
 
@@ -273,7 +280,23 @@ UNION ALL SELECT prio, pos, name, url, category, enabled FROM (
     SELECT prio, pos, name, 'https://market.example/search?query=' || replace(url_encode(name), '%20', '+') AS url, category, enabled FROM x_names)
   WHERE lower(url) NOT IN (SELECT lower(url) FROM x_kept)) WHERE place <= {MIN_ROWS} - (SELECT count(*) FROM x_kept)""")
 def meta_seed_merge(spark, sf):
-    existing = seeds.market_seeds(table(spark, sf, "supplier"))
-    apps = seeds.app_seeds(ops.app_rows(spark, sf))
+    return seeds.merge_market_seeds(*_to_merge(spark, sf), MARKET, MIN_ROWS)
+
+
+@query("meta_seed_merge_all", """
+SELECT prio, pos, product_name, url, category, enabled FROM x_kept
+UNION ALL SELECT prio, pos, name, url, category, enabled FROM (
+  SELECT *, row_number() OVER (PARTITION BY lower(name) ORDER BY prio, pos) AS nn, 'https://market.example/search?query=' || replace(url_encode(name), '%20', '+') AS url FROM (
+    SELECT prio, pos, name, category, enabled FROM x_app_names UNION ALL SELECT 2, pos, name, category, '1' FROM x_fallback))
+WHERE nn = 1 AND lower(url) NOT IN (SELECT lower(url) FROM x_kept)""")
+def meta_seed_merge_all(spark, sf):
+    """The merge without a number to fill up to: no row is cut."""
+    return seeds.merge_market_seeds(*_to_merge(spark, sf), MARKET)
+
+
+MARKET = "https://market.example/search?query="
+
+
+def _to_merge(spark, sf):
     fallback = spark.createDataFrame([(i, n, c, True) for i, (n, c) in enumerate(lx.FALLBACK_PRODUCTS)], "pos bigint, name string, category string, enabled boolean")
-    return seeds.merge_market_seeds(existing, apps, fallback, "https://market.example/search?query=", MIN_ROWS)
+    return seeds.market_seeds(table(spark, sf, "supplier")), seeds.app_seeds(ops.app_rows(spark, sf)), fallback

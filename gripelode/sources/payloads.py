@@ -403,45 +403,37 @@ def job_query_signals(seeds: DataFrame) -> DataFrame:
 
 # --- forum HTML ------------------------------------------------------------------------------
 
-_Q = "['\"]"
-_NQ = "[^'\"]"
 FORUM_HOST = "https://news.ycombinator.com/"
 
 
 def forum_stories(pages: DataFrame, id_col: str) -> DataFrame:
     """Story rows of listing HTML: id, title, link, item_url."""
-    row = rf"(?is)<tr[^>]*class={_Q}{_NQ}*athing{_NQ}*{_Q}[^>]*>.*?</tr>"
-    title_link = rf"(?is)<span[^>]+class={_Q}titleline{_Q}[^>]*>\s*<a[^>]+href={_Q}({_NQ}+){_Q}[^>]*>(.*?)</a>"
-    rows = pages.select(id_col, F.posexplode(F.regexp_extract_all("html", F.lit(row), F.lit(0))).alias("pos", "row"))
+    rows = pages.select(id_col, F.posexplode(F.regexp_extract_all("html", F.lit(lx.FORUM_ROW), F.lit(0))).alias("pos", "row"))
     head = F.regexp_extract("row", r"(?is)^<tr[^>]*>", 0)
-    link = text.clean(F.regexp_extract("row", title_link, 1))
-    made = rows.where(F.col("row").rlike(title_link)).select(
-        id_col, "pos", F.regexp_extract(head, rf"(?i)id={_Q}(\d+){_Q}", 1).alias("id"),
-        text.strip_html(F.regexp_extract("row", title_link, 2)).alias("title"),
+    link = text.clean(F.regexp_extract("row", lx.FORUM_TITLE, 1))
+    made = rows.where(F.col("row").rlike(lx.FORUM_TITLE)).select(
+        id_col, "pos", F.regexp_extract(head, lx.FORUM_ROW_ID, 1).alias("id"),
+        text.strip_html(F.regexp_extract("row", lx.FORUM_TITLE, 2)).alias("title"),
         F.when(link.startswith("item?id="), F.concat(F.lit(FORUM_HOST), link)).otherwise(link).alias("link"),
     )
     return made.where((F.col("id") != "") & (F.col("title") != "")).withColumn("item_url", F.concat(F.lit(FORUM_HOST + "item?id="), "id"))
 
 
 def forum_comments(pages: DataFrame, id_col: str) -> DataFrame:
-    pattern = rf"(?is)<span[^>]+class={_Q}commtext{_NQ}*{_Q}[^>]*>(.*?)</span>"
-    found = pages.select(id_col, F.posexplode(F.regexp_extract_all("html", F.lit(pattern), F.lit(1))).alias("pos", "c"))
+    found = pages.select(id_col, F.posexplode(F.regexp_extract_all("html", F.lit(lx.FORUM_COMMENT), F.lit(1))).alias("pos", "c"))
     return found.select(id_col, "pos", text.strip_html(F.col("c")).alias("comment_text")).where(F.col("comment_text") != "")
 
 
 def forum_new_comments(pages: DataFrame, id_col: str) -> DataFrame:
     """Rows of a new-comments page: comment id, story link and title, comment text."""
-    pattern = (
-        rf"(?is)<tr[^>]+class={_Q}athing{_Q}[^>]+id={_Q}(\d+){_Q}[^>]*>.*?"
-        rf"<span[^>]+class={_Q}onstory{_Q}[^>]*>.*?<a[^>]+href={_Q}({_NQ}+){_Q}[^>]*>(.*?)</a>.*?"
-        rf"<div[^>]+class={_Q}comment{_Q}[^>]*>\s*<div[^>]+class={_Q}commtext{_NQ}*{_Q}[^>]*>(.*?)</div>"
-    )
-    rows = pages.select(id_col, F.posexplode(F.regexp_extract_all("html", F.lit(pattern), F.lit(0))).alias("pos", "row"))
-    link = text.clean(F.regexp_extract("row", pattern, 2))
+    rows = pages.select(id_col, F.posexplode(F.regexp_extract_all("html", F.lit(lx.FORUM_NEW_COMMENT), F.lit(0))).alias("pos", "row"))
+    # One more match takes a row's four pieces apart; NUL, which pages cannot hold, stands between them.
+    pieces = F.split(F.regexp_replace(F.translate("row", "\0", " "), lx.FORUM_NEW_COMMENT, "$1\0$2\0$3\0$4"), "\0", -1)
+    rows = rows.select(id_col, "pos", pieces.alias("pieces"))
+    link = text.clean(F.get("pieces", F.lit(1)))
     absolute = F.when((link != "") & ~link.startswith("http"), F.concat(F.lit(FORUM_HOST), F.regexp_replace(link, "^/+", ""))).otherwise(link)
     made = rows.select(
-        id_col, "pos", F.regexp_extract("row", pattern, 1).alias("comment_id"), absolute.alias("story_link"),
-        text.strip_html(F.regexp_extract("row", pattern, 3)).alias("story_title"),
-        text.strip_html(F.regexp_extract("row", pattern, 4)).alias("comment_text"),
+        id_col, "pos", F.get("pieces", F.lit(0)).alias("comment_id"), absolute.alias("story_link"),
+        text.strip_html(F.get("pieces", F.lit(2))).alias("story_title"), text.strip_html(F.get("pieces", F.lit(3))).alias("comment_text"),
     )
     return made.where((F.col("comment_id") != "") & (F.col("comment_text") != ""))

@@ -154,3 +154,25 @@ def test_exports_write_one_day(spark, tmp_path):
     counts = {n: spark.read.json(f"{tmp_path}/{n}").count() for n in ("ideas", "opportunity_clusters", "page_seed", "publish_cards")}
     assert counts == {"ideas": 2, "opportunity_clusters": 2, "page_seed": 1, "publish_cards": 1}
     assert spark.read.json(f"{tmp_path}/page_seed").first().slug == "p-a"
+
+
+def test_health_snapshots_are_appended_and_the_newest_is_latest(spark, tmp_path):
+    path = str(tmp_path / "health")
+    for at, n in (("2024-01-01T00:00:00Z", 1), ("2024-01-03T00:00:00Z", 3), ("2024-01-02T00:00:00Z", 2)):
+        observe.write_health(spark.createDataFrame([(n, at)], "reviews_count long, taken_at string"), path)
+    assert [r["reviews_count"] for r in spark.read.json(f"{path}/latest").collect()] == [3]
+    assert spark.read.json(f"{path}/history").count() == 3
+
+
+def test_market_seeds_merge_by_name_and_url(spark):
+    existing = spark.createDataFrame([(0, "Kept", "https://m/?q=Alpha", "", True), (1, "Again", "HTTPS://m/?q=alpha", "x", False), (2, "", "u2", "c", False), (3, "no url", " ", "c", True)], "pos long, product_name string, url string, category string, enabled boolean")
+    named = "pos long, name string, category string, enabled boolean"
+    apps = spark.createDataFrame([(0, "Beta", "", True), (1, "BETA", "", True), (2, "alpha", "", True), (3, " ", "", True), (4, "É", "", True), (5, "é", "", True)], named)
+    fallback = spark.createDataFrame([(0, "beta", "F", True), (1, "Gamma", "F", True)], named)
+
+    def merged(limit=None):
+        return sorted((r["prio"], r["pos"], r["product_name"], r["url"]) for r in seeds.merge_market_seeds(existing, apps, fallback, "https://m/?q=", limit).collect())
+
+    everything = [(0, 0, "Kept", "https://m/?q=Alpha"), (0, 2, "Unknown Product", "u2"), (1, 0, "Beta", "https://m/?q=Beta"), (1, 4, "É", "https://m/?q=%C3%89"), (2, 1, "Gamma", "https://m/?q=Gamma")]
+    assert merged() == everything
+    assert merged(4) == everything[:4] and merged(1) == everything[:2] and merged(100) == everything
