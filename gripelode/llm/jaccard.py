@@ -388,9 +388,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def set_bytes(texts: DataFrame, rows: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
-    """(node, shingles) of the given sets, staged; each from the first row that holds it."""
+    """(node, shingles) of the given sets, staged; each from the row of the smallest id that holds it, or from rows without one."""
     owners = rows.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     owners = common.stage(owners, "owners")
-    chosen = texts.join(common.small(owners.select("doc_id").distinct()), "doc_id", "left_semi")
+    chosen = texts.join(common.small(owners.select("doc_id").where("doc_id is not null").distinct()), "doc_id", "left_semi")
+    if not owners.where("doc_id is null").isEmpty():  # sets that only rows with a null id hold
+        chosen = chosen.unionByName(texts.where("doc_id is null"))
     made = chosen.mapInArrow(_bytes(size), "node long, shingles binary")
     return common.stage(made.join(owners.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")

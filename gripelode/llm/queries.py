@@ -152,7 +152,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_packing")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.packed(table(spark, sf_dir, "documents"))
+    """Writes the matrices and returns the index of their lines."""
+    return packing.write(table(spark, sf_dir, "documents"))
 
 
 @query("op9_toxicity")

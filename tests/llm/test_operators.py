@@ -356,6 +356,44 @@ def test_packing_is_lossless(docs):
     assert packing.packed(docs([])).count() == 0
 
 
+def test_written_matrices_are_read_back(docs, tmp_path):
+    rng = random.Random(5)
+    rows = [(i, " ".join(f"w{rng.randrange(99)}" for _ in range(rng.randrange(150)))) for i in range(80)] + [(None, "no id"), (3, None), (3, ""), (90, "long " * 700)]
+    index = packing.write(docs(rows), f"file://{tmp_path}/packed", row=64, group_tokens=3000)
+    lines = {(r["file"], r["line"]): r for r in index.collect()}
+    encoding = packing._encoding(open(packing.RANKS, "rb").read())
+    parts = defaultdict(list)
+    found = packing.read(index, row=64).collect()
+    assert {(r["file"], r["line"]) for r in found} == set(lines) and len(found) == len(lines)
+    for r in found:
+        at = lines[r["file"], r["line"]]
+        assert r["cu_seqlens"] == at["cu_seqlens"] and len(r["ids"]) == len(r["positions"]) == 64
+        for doc, offset, a, b in zip(at["doc_ids"], at["doc_offsets"], r["cu_seqlens"][:-1], r["cu_seqlens"][1:]):
+            assert r["positions"][a:b] == list(range(b - a))
+            parts[doc].append((offset, r["ids"][a:b]))
+        assert set(r["ids"][at["n_tokens"] :]) <= {packing.END_ID} and set(r["positions"][at["n_tokens"] :]) <= {0}
+    expected = defaultdict(list)
+    for i, text in rows:
+        ids = [*encoding.encode_ordinary(text or ""), packing.END_ID]
+        expected[i] += [(at, ids[at : at + 64]) for at in range(0, len(ids), 64)]
+    assert {i: sorted(p) for i, p in parts.items()} == {i: sorted(p) for i, p in expected.items()}
+    told = {r["file"].rsplit("/", 1)[1]: r for r in packing.files(index, row=64).collect()}
+    sizes = Counter()
+    for path in (tmp_path / "packed").iterdir():
+        sizes[path.stem] += path.stat().st_size
+    assert sizes == {name: r["n_bytes"] for name, r in told.items()} and sum(r["n_lines"] for r in told.values()) == len(lines)
+    assert packing.write(docs([])).count() == 0
+
+
+def test_null_id_rows_keep_near_links(docs):
+    words = [f"w{i}" for i in range(60)]
+    near = [*words[:-1], "other"]
+    nearer = [*words[:-2], "more", "other"]
+    rows = [(None, " ".join(near)), (1, " ".join(words)), (2, "quite another text of some words"), (5, " ".join(nearer))]
+    found = {r["doc_id"]: r["component_id"] for r in jaccard.classes(docs(rows)).collect()}
+    assert found == {None: 1, 1: 1, 2: 2, 5: 1}
+
+
 def test_best_fit_takes_the_fullest_row():
     rng = random.Random(9)
     lengths = [rng.randrange(1, 101) for _ in range(400)]
