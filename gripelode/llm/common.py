@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,11 +36,42 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/llm/{uuid.uuid4().hex}/{name}"
 
 
+#: Folders staged since the last ``staged_since``, by the list that asks for them.
+_watchers: list[list[str]] = []
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage and outlives lost executors."""
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    for folders in _watchers:
+        folders.append(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def drop(*frames: DataFrame) -> None:
+    """Removes the folders of staged frames that nothing reads any more; other frames stay as they are."""
+    for frame in frames:
+        if path := getattr(frame, "_staged_at", None):
+            drop_folders(frame.sparkSession, [path])
+
+
+def drop_folders(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def staged_into(folders: list[str]) -> Iterator[None]:
+    """Within it, the folders of staged frames are added to ``folders``."""
+    _watchers.append(folders)
+    try:
+        yield
+    finally:
+        _watchers.remove(folders)
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -70,7 +103,8 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         joined = large.join(F.broadcast(low) if few else low, "a")
         star = joined.select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
-        edges = stage(star.where("a <> b").distinct(), name)
+        last, edges = edges, stage(star.where("a <> b").distinct(), name)
+        drop(last)
         now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == before:
             break
@@ -80,14 +114,21 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
 
 
 def joined_roots(roots: DataFrame, links: DataFrame) -> DataFrame:
-    """Roots (node, root) with further links (a, b): only links between different components are worked on, as links of roots."""
+    """Roots (node, root) with further links (a, b): only links between different components are worked on, as links of roots.
+
+    Where roots change, the staged ones given are removed.
+    """
     sides = links.join(roots.select(F.col("node").alias("a"), F.col("root").alias("_x")), "a", "left")
     sides = sides.join(roots.select(F.col("node").alias("b"), F.col("root").alias("_y")), "b", "left")
     ends = sides.select(F.coalesce("_x", "a").alias("a"), F.coalesce("_y", "b").alias("b")).where("a <> b").distinct()
     ends = stage(ends, "ends")
     if ends.isEmpty():
+        drop(ends)
         return roots
     moved = stage(components(ends), "moved")
+    drop(ends)
     kept = roots.join(moved.select(F.col("node").alias("root"), F.col("root").alias("_to")), "root", "left")
     kept = kept.select("node", F.coalesce("_to", "root").alias("root"))
-    return stage(kept.unionByName(moved.join(roots, "node", "left_anti")), "roots")
+    out = stage(kept.unionByName(moved.join(roots, "node", "left_anti")), "roots")
+    drop(moved, roots)
+    return out

@@ -322,9 +322,12 @@ def _hot_roots(members: DataFrame, links: DataFrame, sets: DataFrame, percent: i
         cold = groups.join(sizes.where(F.lit(last) | ~hot).select("gid"), "gid")
         found = common.stage(_verified(_pairs(cold).distinct(), sets, percent), "links")
         roots = common.joined_roots(roots, found)
+        common.drop(shown, found, members)
         if last:
+            common.drop(groups, sizes)
             return roots
         members = common.stage(groups.join(sizes.where(hot).select("gid"), "gid"), f"groups{step}")
+        common.drop(groups, sizes)
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:

@@ -5,6 +5,7 @@ import math
 import random
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -300,3 +301,28 @@ def test_run_report_edge_rows(docs):
     told = {(r["doc_id"], r["n_runs"], r["start"], r["length"], r["period"], r["exponent_milli"]) for r in found}
     assert told == {(None, 1, 0, 24, 1, 24000), (None, 0, None, None, None, None), (1, 0, None, None, None, None)}
     assert runs.report(docs([])).collect() == []
+
+
+# --- the pipeline's staged folders
+
+
+def test_stages_remove_what_the_stage_before_has_staged(spark, docs, tmp_path):
+    import corpus_pipeline
+    from gripelode.llm import common
+
+    made = []
+
+    @corpus_pipeline.tidy
+    def halve(spark, rows, sf_dir):
+        out = common.stage(rows.where("doc_id % 2 = 0"), "half")
+        made.append(Path(out._staged_at.removeprefix("file://")))
+        return out
+
+    corpus_pipeline._left.clear()
+    first = halve(spark, docs([(i, "x") for i in range(8)]), "")
+    first.write.parquet(str(tmp_path / "first"))
+    # Documents that still come from a staged folder keep it.
+    assert halve(spark, first.where("doc_id < 4"), "").count() == 2 and made[0].exists()
+    # Documents that were written and read again do not.
+    assert halve(spark, spark.read.parquet(str(tmp_path / "first")), "").count() == 4
+    assert not made[0].exists() and not made[1].exists() and made[2].exists()
