@@ -98,15 +98,16 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 HOST = r"lower(regexp_extract({0}, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1))"
 PATH = r"regexp_extract({0}, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)"
 URL_SQL = rf"""WITH c AS (SELECT page_id, rtrim({HOST.format("url")}, '.') AS host, {PATH.format("url")} AS path, ts AS seen
-  FROM pages JOIN events ON event_id = page_id % (SELECT count(*) FROM events)),
+  FROM (SELECT p.*, page_id % n AS event_id FROM pages p, (SELECT count(*) AS n FROM events)) JOIN events USING (event_id)),
 p AS (SELECT page_id, rtrim({HOST.format("url")}, '.') AS host, {PATH.format("url")} AS path FROM pages),
 e AS (SELECT 'list' || (user_id % 3) AS list, CASE event_id % 3 WHEN 0 THEN host WHEN 1 THEN regexp_replace(host, '^[^.]+\.', '') ELSE host || '/' || split_part(path, '/', 2) END AS pattern,
   CASE event_id % 4 WHEN 2 THEN 'allow' WHEN 3 THEN 'remove' ELSE 'block' END AS action, ts
-  FROM events JOIN p ON page_id = event_id % (SELECT count(*) FROM pages) WHERE host <> ''),
+  FROM (SELECT e.*, event_id % n AS page_id FROM events e, (SELECT count(*) AS n FROM pages)) JOIN p USING (page_id) WHERE host <> ''),
 k AS (SELECT list, rtrim(pattern, './') AS pattern, ts AS f, max(action) AS action FROM e GROUP BY ALL),
 i AS (SELECT list, split_part(pattern, '/', 1) AS domain, substr(pattern, length(split_part(pattern, '/', 1)) + 1) AS path, action, f, lead(f) OVER (PARTITION BY list, pattern ORDER BY f) AS t FROM k WHERE pattern <> ''),
-h AS (SELECT page_id, list, arg_max(action, (length(domain) + length(i.path)) * 100000 + length(i.path)) AS action, count(*) AS n FROM c JOIN i
-  ON (c.host = domain OR (ends_with(c.host, '.' || domain) AND contains(domain, '.'))) AND (i.path = '' OR c.path = i.path OR starts_with(c.path, i.path || '/')) AND seen >= f AND (t IS NULL OR seen < t)
+h AS (SELECT page_id, list, arg_max(action, (length(domain) + length(i.path)) * 100000 + length(i.path)) AS action, count(*) AS n
+  FROM (SELECT *, unnest(list_transform(range(1, len(l) + 1), lambda k: array_to_string(l[k:], '.'))) AS suffix FROM (SELECT *, string_split(host, '.') AS l FROM c)) c JOIN i
+  ON suffix = domain AND (c.host = domain OR contains(domain, '.')) AND (i.path = '' OR c.path = i.path OR starts_with(c.path, i.path || '/')) AND seen >= f AND (t IS NULL OR seen < t)
   WHERE action <> 'remove' GROUP BY ALL),
 v AS (SELECT page_id, sum(n) AS n, string_agg(list, ',' ORDER BY list) FILTER (action = 'block') AS lists FROM h GROUP BY page_id)
 SELECT page_id, nullif(host, '') AS host, coalesce(n, 0)::BIGINT AS n_active, lists IS NOT NULL AS blocked, coalesce(lists, '') AS blocked_by FROM c LEFT JOIN v USING (page_id)"""
