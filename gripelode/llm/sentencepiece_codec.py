@@ -8,6 +8,10 @@ For a unigram model the best piece maximises the sum of scores. For a byte-pair
 library's segmentation, so the maximum runs over another value: 1 if the piece can follow the last piece of the prefix it
 continues, which is so when merging the two in order of rank ends in just these two. The segmentation of a prefix is a
 prefix of the segmentation, and exactly one piece can follow at each position, so the search returns the merges' result.
+
+Few very long units, as texts without blanks are, gain nothing from advancing together. Their pieces are still found for
+whole stretches at once, one probe per piece length; then one pass over the found pieces stores the backpointers. The work
+is in proportion to the characters, whatever the length of a unit.
 """
 
 from __future__ import annotations
@@ -29,6 +33,9 @@ LEAF = -1
 U = np.uint64
 CHUNK_CHARS = 3_000_000
 CACHE_BITS = 20
+FEW, LONG = 32, 64  # the FEW longest units of more than LONG characters are searched one by one
+STRETCH = 1 << 16  # characters whose pieces are found at once
+PAIRS_KEPT = 2_000_000
 
 
 class Pieces:
@@ -173,6 +180,8 @@ class Codec:
         self.pieces = pieces
         self.seen = np.zeros(1 << CACHE_BITS, np.int64) - 1
         self.seen_value = np.zeros(1 << CACHE_BITS, bool)
+        self.pairs: dict[int, bool] = {}
+        self.merged: dict[int, int] | None = None
 
     def _can_follow(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
         """Pieces.follows with the answers of recent pairs kept."""
@@ -189,6 +198,83 @@ class Codec:
 
     def _search(self, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(tokens, number of tokens of each unit); units must be in order of falling length. -1 - c is the unknown character c."""
+        lengths = ends - starts
+        common_length = max(LONG, int(lengths[FEW]) if len(lengths) > FEW else 0)
+        alone = int(np.searchsorted(-lengths, -common_length, "left"))  # longer than all that advance together
+        found = [self._search_one(points[a:b]) for a, b in zip(starts[:alone], ends[:alone])]
+        tokens, count = self._search_all(points, starts[alone:], ends[alone:])
+        return np.concatenate([*found, tokens]), np.concatenate((np.array([len(x) for x in found], np.int64), count))
+
+    def _search_one(self, points: np.ndarray) -> np.ndarray:
+        """The tokens of one unit."""
+        p, n = self.pieces, len(points)
+        sums = prefix_sums(points)
+        last, back, best = [-1] * (n + 1), [1] * (n + 1), [0.0] * (n + 1)
+        for first in range(0, n, STRETCH):
+            end = np.arange(first + 1, min(n, first + STRETCH) + 1)
+            at, size, ids = [], [], []
+            for k in range(min(p.longest, int(end[-1])), 0, -1):
+                e = end[end >= k]
+                piece = p.probe(substring_hashes(sums, e - k, e))
+                good = piece >= 0 if p.unigram else (piece >= 0) & p.reached[piece]
+                at.append(e[good])
+                size.append(np.full(int(good.sum()), k))
+                ids.append(piece[good])
+            at, size, ids = np.concatenate(at), np.concatenate(size), np.concatenate(ids)
+            order = np.argsort(at, kind="stable")  # longer pieces of one place stay in front
+            cuts = np.searchsorted(at[order], np.append(end, end[-1] + 1)).tolist()
+            size, ids = size[order].tolist(), ids[order].tolist()
+            for e, a, b in zip(end.tolist(), cuts[:-1], cuts[1:]):
+                if p.unigram:
+                    best[e] = float("-inf")
+                    for j in range(a, b):
+                        value = best[e - size[j]] + float(p.score[ids[j]])
+                        if value > best[e]:
+                            best[e], last[e], back[e] = value, ids[j], size[j]
+                    # A character that is a piece is no unknown one.
+                    if (a == b or size[b - 1] > 1) and best[e - 1] + p.unknown_score > best[e]:
+                        best[e], last[e], back[e] = best[e - 1] + p.unknown_score, -1, 1
+                else:
+                    for j in range(a, b):
+                        before = last[e - size[j]] if size[j] < e else -1
+                        if before < 0 or self._pair_follows(before, ids[j]):
+                            last[e], back[e] = ids[j], size[j]
+                            break
+        out, e = [], n
+        while e > 0:
+            out.append(last[e] if last[e] >= 0 else -1 - int(points[e - 1]))
+            e -= back[e]
+        return np.array(out[::-1], np.int64)
+
+    def _pair_follows(self, a: int, b: int) -> bool:
+        """Pieces.follows for one pair, kept."""
+        p = self.pieces
+        if self.merged is None:
+            self.rank, self.left, self.right = p.rank.tolist(), p.left.tolist(), p.right.tolist()
+            self.merged = dict(zip(p.pair_keys.tolist(), p.pair_rank.tolist()))
+        size = len(self.rank)
+        asked = a * size + b
+        if (known := self.pairs.get(asked)) is not None:
+            return known
+        limit, out = float("inf"), True
+        while True:
+            if self.merged.get(a * size + b, limit) < limit:
+                out = False
+                break
+            ra, rb = self.rank[a], self.rank[b]
+            if ra == LEAF and rb == LEAF:
+                break
+            if ra > rb:
+                limit, a = ra, self.right[a]
+            else:
+                limit, b = rb + 1, self.left[b]
+        if len(self.pairs) > PAIRS_KEPT:
+            self.pairs.clear()
+        self.pairs[asked] = out
+        return out
+
+    def _search_all(self, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``_search`` with all units advancing together."""
         p = self.pieces
         sums, lengths = prefix_sums(points), ends - starts
         n = len(points)

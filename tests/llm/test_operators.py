@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -310,6 +311,30 @@ def test_pieces_equal_the_library():
     assert own.decode(own.encode(["a▁b"])[0]) == "a b"
 
 
+def test_long_texts_without_blanks_equal_the_library():
+    sentencepiece = pytest.importorskip("sentencepiece")
+    model = open(sentencepiece_codec.MODEL, "rb").read()
+    library, own = sentencepiece.SentencePieceProcessor(model_proto=model), sentencepiece_codec.Codec(sentencepiece_codec.Pieces(model))
+    rng = random.Random(8)
+    made = {
+        "letters": "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/") for _ in range(30_000)), "one": "a" * 40_000, "dashes": "-=" * 20_000,
+        "ideographs": "".join(chr(rng.randrange(0x4E00, 0x9FA0)) for _ in range(20_000)), "code": "function(a,b){return a.length>b?this.name:null;}" * 800,
+        "words": "".join(rng.choice(["the", "ing", "tion", "é", "日", "under", "stand"]) for _ in range(9_000)), "border": "ab" * (sentencepiece_codec.STRETCH // 2 + 5),
+    }
+    texts = [*made.values(), *("x" * n for n in range(60, 70)), *(f"{i}" * 90 for i in range(50)), "short " * 10 + made["code"][:900] + " end"]
+    assert [x.tolist() for x in own.encode(texts)] == library.encode(texts)
+
+
+def test_a_very_long_text_takes_time_in_proportion():
+    model = open(sentencepiece_codec.MODEL, "rb").read()
+    own = sentencepiece_codec.Codec(sentencepiece_codec.Pieces(model))
+    rng = random.Random(9)
+    begin = time.perf_counter()
+    for text in ("".join(chr(rng.randrange(0x4E00, 0x9FA0)) for _ in range(300_000)), "b" * 300_000, "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(300_000))):
+        assert own.decode(own.encode([text])[0]) == text
+    assert time.perf_counter() - begin < 60
+
+
 def test_unigram_search_is_the_best_path():
     class Small(sentencepiece_codec.Pieces):
         def __init__(self, scores):
@@ -322,7 +347,7 @@ def test_unigram_search_is_the_best_path():
     scores = {"".join(p): -rng.uniform(1, 9) for n in (1, 2, 3) for p in itertools.product("▁ab", repeat=n) if "▁" not in p[1:]}
     names = list(scores)
     codec = sentencepiece_codec.Codec(Small(scores))
-    for text in ["abba", "aab bab", "b", "abababab aaa", "ac"]:
+    for text in ["abba", "aab bab", "b", "abababab aaa", "ac", "abc" * 40, "bca" * 30 + "a" * 100]:
         ids = codec.encode([text])[0].tolist()
         full, best = "▁" + text.replace(" ", "▁"), {0: 0.0}
         for end in range(1, len(full) + 1):
