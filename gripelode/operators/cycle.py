@@ -16,7 +16,7 @@ from gripelode.config import DEFAULT, Config
 from gripelode.functions import gates, keys
 from gripelode.operators import candidates as cand
 from gripelode.operators import ingest, observe, publish, seeds
-from gripelode.session import stage
+from gripelode.session import drop, stage
 from gripelode.stores import Store
 
 #: Sources whose rows have a cursor; the others land again in every cycle and rest on the fingerprint alone.
@@ -85,7 +85,9 @@ def ingest_cycle(tables: Tables, landed: DataFrame, seed_keys: DataFrame, run_at
     if mode != "fast_backfill":
         passed = ingest.cursor_filter(passed, tables.cursors.read(), cursor_key())
     first = stage(ingest.first_per_fingerprint(passed, ["scraped_at", "ingest_seq"]), "first")
-    fresh = stage(first.join(tables.reviews.known(first), "fingerprint", "left_anti"), "fresh")
+    known = tables.reviews.known(first)
+    fresh = stage(first.join(known, "fingerprint", "left_anti"), "fresh")
+    drop(first, known)
     tables.reviews.append(fresh)
 
     newest = fresh.withColumn("cursor_key", cursor_key()).where("cursor_key is not null and posted_ts is not null")
@@ -106,6 +108,7 @@ def ingest_cycle(tables: Tables, landed: DataFrame, seed_keys: DataFrame, run_at
     stats = stage(observe.cycle_stats(results), "stats")
     total = F.lit(sum(s.rows for s in tables.reviews.segments())).cast("long")
     tables.run_log.append(observe.run_log_row(stats, run_at, mode, total))
+    drop(rows, fresh, results)
     return stats
 
 
@@ -131,6 +134,7 @@ def rebuild_and_clean(tables: Tables, as_of: Column, limit: int | None, cfg: Con
     for condition in same[1:]:
         on = on & condition
     tables.cards.upsert(cards.alias("n").join(stored.alias("o"), on, "left_anti"))
+    drop(cards)
 
 
 def process_batch(tables: Tables, batch: DataFrame, batch_id: str, as_of: Column, cfg: Config = DEFAULT, responses: DataFrame | None = None) -> None:
@@ -144,6 +148,7 @@ def process_batch(tables: Tables, batch: DataFrame, batch_id: str, as_of: Column
     tables.rejects.upsert(cand.reject_rows(records))
     done = rows.select(*[c for c in tables.reviews.columns if c != "enriched_at"]).withColumn("enriched_at", as_of)
     tables.reviews.upsert(done)
+    drop(rows, records, accepted)
 
 
 def enrich_run(
@@ -164,6 +169,7 @@ def enrich_run(
         if batch.isEmpty():
             break
         process_batch(tables, batch, batch_id if not number else f"{batch_id}.{number}", as_of, cfg, responses)
+        drop(batch)
         done += 1
     rebuild_and_clean(tables, as_of, rebuild_limit, cfg)
     return Run(done)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_HOT_KEYS = 1000
+MAX_BROADCAST = 500_000  # rows of two short columns
 
 
 def attach_totals(rows: DataFrame, totals: DataFrame, key: str, size_col: str, spread_by: list[str]) -> DataFrame:
@@ -34,8 +35,11 @@ def attach_totals(rows: DataFrame, totals: DataFrame, key: str, size_col: str, s
 def salted_lookup(rows: DataFrame, lookup: DataFrame, row_key: str, lookup_key: str, spread_by: list[str], salts: int = 32) -> DataFrame:
     """Left join to a lookup with one row per key, far fewer rows than ``rows``.
 
-    The lookup is repeated once per salt, so the rows of one key are shared by ``salts`` tasks.
+    A lookup of at most MAX_BROADCAST rows, which is counted, is broadcast, and the rows stay where they are. A larger one is
+    repeated once per salt, so the rows of one key are shared by ``salts`` tasks, in streams too, where Spark splits no skew.
     """
+    if lookup.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST:
+        return rows.join(F.broadcast(lookup), F.col(row_key) == F.col(lookup_key), "left")
     salted = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     spread = rows.withColumn("_row_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
     on = (F.col(row_key) == F.col(lookup_key)) & (F.col("_row_salt") == F.col("_salt"))

@@ -118,3 +118,19 @@ def enrich_batch_filled(spark, sf):
     size = ingest.pending(revs).count() + DEFAULT.batch_size
     at = F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")
     return ingest.next_batch(revs, at, size, reprocess=True, cooldown_hours=DEFAULT.cooldown_hours).select("fingerprint")
+
+
+_CANDIDATE = """candidate_id, cluster_id, pain_point, reasoning, n AS evidence_count, CAST(to_json(sources) AS VARCHAR) AS sources_present, willingness_signal, round(will, 2) AS willingness_score,
+  round(base, 2) AS raw_opportunity_score, round(boosted, 2) AS boosted_opportunity_score, impact_label, frequency_label, suggested_solution, pricing_hint, round(conf, 2) AS confidence_score,
+  round(conf * 100, 2) AS quality_score, 'accepted' AS quality_status"""
+
+
+@query("candidate_store", f"SELECT {_CANDIDATE}, CASE WHEN impact_label = 'high' THEN 'batch-1' ELSE 'batch-0' END AS batch_id, 2 AS version FROM x_records")
+def candidate_store(spark, sf):
+    """All candidates stored, those of high impact replaced by a later batch, and that batch stored once more, which writes nothing."""
+    rows = stage(cand.candidate_rows(cand.accepted(dated_records(spark, sf))), "candidates")
+    store = tables(spark).candidates
+    store.upsert(rows.withColumn("batch_id", F.lit("batch-0")))
+    for _ in range(2):
+        store.upsert(rows.where(F.col("impact_label") == "high"))
+    return store.read().drop("quality_reason", "evidence_quotes", "generated_at").withColumn("version", F.lit(store.version()))

@@ -44,4 +44,18 @@ def stage(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     path = f"{shared_dir(spark)}/gripelode/{uuid.uuid4().hex}/{name}"
     writer = df.write.mode("errorifexists")
     (writer.partitionBy(by) if by else writer).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def drop(*frames: DataFrame) -> None:
+    """Remove the folders of staged frames that nothing reads any more."""
+    for frame in frames:
+        if path := getattr(frame, "_staged_at", None):
+            delete_folder(frame.sparkSession, path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -58,9 +58,9 @@ APPLE_ENTRY = f"struct<`im:rating`:{_LABEL},content:{_LABEL},updated:{_LABEL},id
 
 def appstore_reviews(payloads: DataFrame) -> DataFrame:
     """(apple_id, app_name, category, country, body: feed JSON whose entry is an array or one object)"""
-    many = F.from_json("body", f"struct<feed:struct<entry:array<{APPLE_ENTRY}>>>")["feed"]["entry"]
-    one = F.from_json("body", f"struct<feed:struct<entry:{APPLE_ENTRY}>>")["feed"]["entry"]
-    entries = F.coalesce(many, F.when(one.isNotNull(), F.array(one)))
+    # The entry comes out as text; read as an array, one object becomes an array of itself.
+    entry = F.from_json("body", "struct<feed:struct<entry:string>>")["feed"]["entry"]
+    entries = F.from_json(entry, f"array<{APPLE_ENTRY}>")
     items = payloads.select("apple_id", "app_name", "category", "country", F.explode(entries).alias("r"))
     items = (
         items.withColumn("rating", F.col("r")["im:rating"]["label"].try_cast("double"))

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from gripelode.session import stage
+from gripelode.session import delete_folder, drop, stage
 
 KEYS_PER_SLOT = 1_600  # keys of one bitmap of 32,768 bits; with 8 bits a key about one answer in 10,000 is wrong
 BITS = 32_768
@@ -89,7 +89,9 @@ class Store:
 
     def version(self) -> int:
         """The newest whole version; 0 before the first."""
-        return max(self.versions(), default=0)
+        files, jpath = self._files(), self.spark._jvm.org.apache.hadoop.fs.Path
+        named = sorted((int(n[2:]) for n in self._names("manifest") if n.startswith("v=")), reverse=True)
+        return next((v for v in named if files.exists(jpath(f"{self.path}/manifest/v={v}/_SUCCESS"))), 0)
 
     def _manifest(self, version: int) -> tuple[list[Segment], dict[str, int]]:
         if not version:
@@ -114,9 +116,8 @@ class Store:
         live = {s.folder for v in kept for s in self.segments(v)}
         gone = [f"manifest/v={v}" for v in versions if v not in kept]
         gone += [f"{kind}/{name}" for kind in ("data", "filters") for name in self._names(kind) if name not in live]
-        files, jpath = self._files(), self.spark._jvm.org.apache.hadoop.fs.Path
         for name in gone:
-            files.delete(jpath(f"{self.path}/{name}"), True)
+            delete_folder(self.spark, f"{self.path}/{name}")
         return gone
 
     # --- reading
@@ -137,7 +138,7 @@ class Store:
         return F.xxhash64(F.lit(7), *self.key)
 
     def known(self, rows: DataFrame) -> DataFrame:
-        """The distinct keys of ``rows`` that the newest version holds; a null key is never known."""
+        """The distinct keys of ``rows`` that the newest version holds, staged; a null key is never known."""
         if not self.filtered:
             raise ValueError(f"{self.path} has no filters")
         segments = self.segments()
@@ -156,8 +157,11 @@ class Store:
         hit = [s for s in segments if (s.folder, s.bucket) in found]
         self.lookup = Lookup(len(hit), sum(s.rows for s in hit), len(segments))
         if not hit:
+            drop(maybe)
             return none
-        return maybe.select(*self.key).distinct().join(self._rows(hit).select(*self.key), self.key, "left_semi")
+        found_keys = stage(maybe.select(*self.key).distinct().join(self._rows(hit).select(*self.key), self.key, "left_semi"), "known")
+        drop(maybe)
+        return found_keys
 
     # --- writing
 
@@ -207,7 +211,10 @@ class Store:
 
     def insert_new(self, rows: DataFrame, stream: str | None = None, batch: int = 0) -> int:
         """Adds those rows, one per key, whose key is not stored."""
-        return self.append(rows.join(self.known(rows), self.key, "left_anti"), stream, batch)
+        known = self.known(rows)
+        version = self.append(rows.join(known, self.key, "left_anti"), stream, batch)
+        drop(known)
+        return version
 
     def done(self, stream: str, batch: int) -> bool:
         """Whether a batch of a stream is committed."""
@@ -236,9 +243,12 @@ class Store:
         for condition in same[1:]:
             on = on & condition
         changed = stage(incoming.alias("n").join(stored.alias("o"), on, "left_anti"), "changed")
+        drop(incoming)
         buckets = {r["bucket"] for r in changed.select("bucket").distinct().collect()}
         if not buckets:
+            drop(changed)
             return self._commit(version + 1, segments, streams) if stream is not None else version
         kept = self._rows([s for s in segments if s.bucket in buckets]).join(changed.select(*self.key), self.key, "left_anti")
         written = self._write(kept.unionByName(changed.drop("bucket")))
+        drop(changed)
         return self._commit(version + 1, [s for s in segments if s.bucket not in buckets] + written, streams)

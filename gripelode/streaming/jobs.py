@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from gripelode.functions import keys
 from gripelode.operators import ingest
-from gripelode.session import stage
+from gripelode.session import drop, stage
 from gripelode.stores import Store
 
 BATCH = "batch_id"
@@ -56,7 +56,9 @@ def ingest_stream(stream: DataFrame, table: Store, checkpoint: str, order: list[
 
     def each(batch: DataFrame, batch_id: int) -> None:
         if not table.done(checkpoint, batch_id):
-            table.insert_new(stage(ingest.first_per_fingerprint(batch, order), "batch"), checkpoint, batch_id)
+            first = stage(ingest.first_per_fingerprint(batch, order), "batch")
+            table.insert_new(first, checkpoint, batch_id)
+            drop(first)
 
     return run(stream, checkpoint, each)
 
@@ -90,6 +92,7 @@ def cursor_stream(stream: DataFrame, cursors: Store, key: Column, path: str, che
         asked = known.join(moved.select("cursor_key"), "cursor_key", "left_semi")
         at = F.current_timestamp().cast("timestamp_ntz")
         cursors.upsert(ingest.cursor_upsert(asked, moved, at), checkpoint, batch_id)
+        drop(passed)
 
     return run(stream, checkpoint, each)
 

@@ -8,7 +8,10 @@ from compare import duck, mismatch
 import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
-QUICK = ["fn_clean", "fn_parse_ts", "gate_market", "norm_appstore", "dedupe_latest", "merged_clusters", "seed_keys", "rate_budget_report"]
+QUICK = [
+    "fn_clean", "fn_parse_ts", "fn_strip_html", "gate_market", "norm_appstore", "norm_jobs", "norm_market_pages", "json_walk_order", "dedupe_latest", "merged_clusters",
+    "seed_keys", "rate_budget_report", "cursor_filter", "enrich_batch_filled", "meta_seed_merge_all", "rebuild_cards_all", "stream_rate", "stream_cursor",
+]
 NAMES = list(entry.queries()) if os.environ.get("GRIPELODE_CHECKS") == "all" else QUICK
 
 
