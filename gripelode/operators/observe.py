@@ -120,13 +120,17 @@ def rate_budget_report(log: DataFrame, key: str, ts: str, cfg: Config = DEFAULT)
         *[(F.sum(part(s)).over(whole) - F.sum(part(s)).over(upto)).alias(f"edge_{s}") for s in SPANS.values()],
     ).where(F.col("span") == 0)
 
-    # Full seconds between the two edges: sums over up to a day of per-second counts, by day with the previous day as context.
+    # Full seconds between the two edges: what came up to the second before, less what has left the window by now. Both are
+    # running sums over the day and the day before it, so a second is added once and taken away once, however long the window.
     seconds = timed.groupBy(key, "sec").agg(F.sum("n").alias("n"))
-    dayed = seconds.withColumn("ahead", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("day", F.floor(F.col("sec") / DAY) + F.col("ahead"))
+    long = [s for s in SPANS.values() if s > 1]
+    moved = seconds.withColumn("span", F.explode(F.array(*[F.lit(s) for s in (0, *long)]))).withColumn("ahead", F.explode(F.array(F.lit(0), F.lit(1))))
+    moved = moved.withColumns({"day": F.floor(F.col("sec") / DAY) + F.col("ahead"), "sec": F.col("sec") + F.col("span")}).where(F.col("sec") < (F.col("day") + 1) * DAY)
     by_day = Window.partitionBy(key, "day").orderBy("sec")
-    rolling = dayed.select(
-        key, "sec", "ahead", *[F.coalesce(F.sum("n").over(by_day.rangeBetween(1 - s, -1)), F.lit(0)).alias(f"full_{s}") for s in SPANS.values() if s > 1],
-    ).where(F.col("ahead") == 0).drop("ahead").withColumn("full_1", F.lit(0))
+    before, left = by_day.rangeBetween(Window.unboundedPreceding, -1), by_day.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    rolling = moved.select(
+        key, "sec", "ahead", "span", *[(F.coalesce(F.sum(part(0)).over(before), F.lit(0)) - F.sum(part(s)).over(left)).alias(f"full_{s}") for s in long],
+    ).where((F.col("ahead") == 0) & (F.col("span") == 0)).drop("ahead", "span").withColumn("full_1", F.lit(0))
 
     joined = edges.join(rolling, [key, "sec"])
     at = F.timestamp_add("MICROSECOND", F.col("sec") * 1_000_000 + F.col("off"), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))

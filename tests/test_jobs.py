@@ -65,6 +65,13 @@ def test_rate_report_equals_brute_force(spark):
     assert len(got) == len(set(times))
 
 
+def test_rates_of_a_long_window_are_differences_of_running_sums(spark):
+    log = spark.createDataFrame([("a", T0)], "k string, ts timestamp_ntz")
+    plan = observe.rate_budget_report(log, "k", "ts")._jdf.queryExecution().analyzed().toString()
+    # A frame with two moving ends is added up again at every row.
+    assert "RangeFrame, unboundedpreceding$()" in plan and "RangeFrame, cast(-" not in plan and "RangeFrame, -" not in plan
+
+
 def test_positions_count_within_groups(spark):
     data = [("g" if i % 4 else "h", (i * 37) % 101) for i in range(101)]
     df = spark.createDataFrame(data, "g string, v int")
