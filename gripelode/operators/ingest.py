@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gripelode.functions import gates, keys, text
+from gripelode.operators.rank import slice_rows
 from gripelode.operators.skew import salted_lookup
 
 REVIEW_COLUMNS = [
@@ -117,7 +118,7 @@ def reprocess_order() -> list[Column]:
 
 def reprocess_top(reviews: DataFrame, as_of: Column, cooldown_hours: int, limit: int) -> DataFrame:
     """The rows waiting longest since their enrichment (a top-k, not a full sort)."""
-    return reprocessable(reviews, as_of, cooldown_hours).orderBy(*reprocess_order()).limit(limit)
+    return slice_rows(reprocessable(reviews, as_of, cooldown_hours), reprocess_order(), 0, limit)
 
 
 def enrich_batch(reviews: DataFrame, as_of: Column, cooldown_hours: int, reprocess_limit: int) -> DataFrame:
@@ -137,15 +138,15 @@ def next_batch(reviews: DataFrame, as_of: Column, batch_size: int | None = None,
     if batch_size is None:
         return todo
     order = [F.col("scraped_at").asc(), F.col("fingerprint").asc()]
-    taken = todo.orderBy(*order).offset(batch_no * batch_size).limit(batch_size)
-    if not reprocess:
-        return taken
-    room = batch_size - taken.count()
-    if room <= 0:
+    left = todo.count() - batch_no * batch_size
+    # A batch with room for all that is pending needs no order.
+    taken = todo if not batch_no and left <= batch_size else slice_rows(todo, order, batch_no * batch_size, batch_size)
+    room = batch_size - max(left, 0)
+    if not reprocess or room <= 0:
         return taken
     looked_at = reprocess_top(reviews, as_of, cooldown_hours, 2 * room)
     again = looked_at.join(taken.select("fingerprint"), "fingerprint", "left_anti")
-    return taken.unionByName(again.orderBy(*reprocess_order()).limit(room).select(*taken.columns))
+    return taken.unionByName(slice_rows(again, reprocess_order(), 0, room).select(*taken.columns))
 
 
 def mark_enriched(reviews: DataFrame, batch: DataFrame, as_of: Column) -> DataFrame:
