@@ -138,17 +138,17 @@ def rebuild_and_clean(tables: Tables, as_of: Column, limit: int | None, cfg: Con
 
 
 def process_batch(tables: Tables, batch: DataFrame, batch_id: str, as_of: Column, cfg: Config = DEFAULT, responses: DataFrame | None = None) -> None:
-    """Clusters, scores and publishes one batch of reviews and marks all its rows enriched."""
-    rows = stage(batch, "batch")
-    records = stage(cand.enrich(rows, cfg, batch_id, as_of, responses), "records")
+    """Clusters, scores and publishes one batch of stored reviews, which is staged, and marks all its rows enriched."""
+    records = stage(cand.enrich(batch, cfg, batch_id, as_of, responses), "records")
     accepted = stage(cand.expand_variants(cand.accepted(records), cfg.variants, cfg.variant_min_evidence), "accepted")
     tables.candidates.upsert(cand.candidate_rows(accepted))
     tables.links.insert_new(publish.evidence_links(accepted, as_of, cfg.max_links).select(*tables.links.columns))
     tables.cards.upsert(publish.publish_cards(accepted))
     tables.rejects.upsert(cand.reject_rows(records))
-    done = rows.select(*[c for c in tables.reviews.columns if c != "enriched_at"]).withColumn("enriched_at", as_of)
-    tables.reviews.upsert(done)
-    drop(rows, records, accepted)
+    # Only the mark differs, so what is stored needs no comparing.
+    done = batch.where(~F.col("enriched_at").eqNullSafe(as_of)).withColumn("enriched_at", as_of)
+    tables.reviews.replace(done.select(*tables.reviews.columns))
+    drop(records, accepted)
 
 
 def enrich_run(

@@ -165,12 +165,15 @@ class Store:
 
     # --- writing
 
+    def _named(self, rows: DataFrame) -> DataFrame:
+        return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema])
+
     def _write(self, rows: DataFrame) -> list[Segment]:
         folder = uuid.uuid4().hex
         path = f"{self.path}/data/{folder}"
         tasks = max(self.buckets, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
         spread = F.pmod(self._hash(), F.lit(math.ceil(tasks / self.buckets)))
-        dealt = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema]).withColumn("bucket", self._bucket())
+        dealt = self._named(rows).withColumn("bucket", self._bucket())
         dealt.repartition(tasks, "bucket", spread).sortWithinPartitions("bucket", *self.key).write.partitionBy("bucket").parquet(path)
         if not any(n.startswith("bucket=") for n in self._names(f"data/{folder}")):
             return []
@@ -234,7 +237,7 @@ class Store:
         if not segments:
             written = self._write(rows)
             return self._commit(version + 1, written, streams) if written or stream is not None else version
-        named = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema])
+        named = self._named(rows)
         incoming = stage(named.withColumn("bucket", self._bucket()), "incoming")
         touched = {r["bucket"] for r in incoming.select("bucket").distinct().collect()}
         stored = self._rows([s for s in segments if s.bucket in touched])
@@ -248,7 +251,19 @@ class Store:
         if not buckets:
             drop(changed)
             return self._commit(version + 1, segments, streams) if stream is not None else version
-        kept = self._rows([s for s in segments if s.bucket in buckets]).join(changed.select(*self.key), self.key, "left_anti")
-        written = self._write(kept.unionByName(changed.drop("bucket")))
+        version = self._replace(version, segments, streams, changed.drop("bucket"), buckets)
         drop(changed)
+        return version
+
+    def replace(self, rows: DataFrame) -> int:
+        """Like ``upsert``, of staged rows that are all known to differ from what is stored: nothing is compared."""
+        version = self.version()
+        segments, streams = self._manifest(version)
+        rows = self._named(rows)
+        buckets = {r["bucket"] for r in rows.select(self._bucket().alias("bucket")).distinct().collect()}
+        return self._replace(version, segments, streams, rows, buckets) if buckets else version
+
+    def _replace(self, version: int, segments: list[Segment], streams: dict[str, int], rows: DataFrame, buckets: set[int]) -> int:
+        kept = self._rows([s for s in segments if s.bucket in buckets]).join(rows.select(*self.key), self.key, "left_anti")
+        written = self._write(kept.unionByName(rows))
         return self._commit(version + 1, [s for s in segments if s.bucket not in buckets] + written, streams)

@@ -39,6 +39,16 @@ def test_an_upsert_writes_only_buckets_with_a_change(spark, store):
     assert store.versions() == [2] and held(store.read()) == sorted((first | {"k7": 700}).items())
 
 
+def test_replaced_rows_are_not_staged_or_compared(spark, store, monkeypatch):
+    store.upsert(rows(spark, [(f"k{i}", i) for i in range(40)]))
+    before = {s.bucket: s.folder for s in store.segments()}
+    monkeypatch.setattr("gripelode.stores.stage", None)
+    assert store.replace(rows(spark, [("k7", 700), ("new", 1)])) == 2
+    assert held(store.read()) == sorted([(f"k{i}", 700 if i == 7 else i) for i in range(40)] + [("new", 1)])
+    assert 1 <= sum(before[s.bucket] != s.folder for s in store.segments()) <= 2
+    assert store.replace(rows(spark, [])) == 2
+
+
 def test_null_keys_and_values(spark, store):
     store.upsert(rows(spark, [(None, 1), ("a", None)]))
     assert store.upsert(rows(spark, [(None, 1), ("a", None)])) == 1
