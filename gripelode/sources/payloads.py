@@ -33,6 +33,11 @@ def _rows(df: DataFrame, **cols) -> DataFrame:
     return df.select(*[made[c].alias(c) for c in OUT])
 
 
+def _once(df: DataFrame, *made: Column, keep: list[str] | None = None) -> DataFrame:
+    """Kept columns and made ones. Filters on made columns stay above them, so that costly texts are not made a second time."""
+    return df.select(*(df.columns if keep is None else keep), F.inline(F.array(F.struct(*made))))
+
+
 # --- mobile stores ---------------------------------------------------------------------------
 
 PLAY_SCHEMA = "array<struct<reviewId:string,userName:string,content:string,score:double,at:string>>"
@@ -150,18 +155,18 @@ def atom_entries(feeds: DataFrame) -> DataFrame:
     """Feed rows to entries with title or summary; the other columns are kept."""
     keep = [c for c in feeds.columns if c != "body"]
     entries = feeds.select(*keep, F.posexplode(F.from_xml("body", ATOM_SCHEMA)["entry"]).alias("pos", "e"))
-    made = entries.select(
-        *keep, "pos", text.clean(F.col("e.title")).alias("title"),
+    made = _once(
+        entries, text.clean(F.col("e.title")).alias("title"),
         text.strip_html(text.or_default(text.text_of(F.col("e.summary")), F.coalesce("e.content", F.lit("")))).alias("summary"),
         text.clean(F.col("e.id")).alias("id"), text.clean(F.col("e.updated")).alias("updated"),
-        text.clean(F.get("e.link", F.lit(0))["_href"]).alias("link"),
+        text.clean(F.get("e.link", F.lit(0))["_href"]).alias("link"), keep=[*keep, "pos"],
     )
     return made.where((F.col("title") != "") | (F.col("summary") != ""))
 
 
 def atom_reviews(feeds: DataFrame) -> DataFrame:
     """(query, category, body: Atom XML)"""
-    entries = atom_entries(feeds).withColumn("content", text.clean(F.concat_ws(". ", "title", "summary")))
+    entries = _once(atom_entries(feeds), text.clean(F.concat_ws(". ", "title", "summary")).alias("content"))
     fallback = F.sha1(F.concat(F.lit("producthunt-feed:"), "query", F.lit(":"), "link", F.lit(":"), "title"))
     return _rows(
         entries.where(gates.launch(F.col("content"), F.col("query"))), source=F.lit("product_hunt"),
@@ -214,46 +219,82 @@ def _kind(value: Column) -> Column:
     return F.substring(F.to_json(value), 1, 1)
 
 
-def _children(kind: Column, body: Column) -> Column:
+#: A string that begins like an object or array, be it by an escape.
+_LOOKALIKE = r'"(?:[{\[]|\\u00[57][bB])'
+IN_A_ROW = 8  # levels below a root that are walked within its row
+
+
+def _children(kind: Column, body: Column, plain: Column) -> Column:
     """The objects and arrays directly inside an object or array: (i, kind, body) in document order.
 
-    Their bodies are read as text, which keeps the order of names, and a second time as variants, which tell an object from a
-    string that looks like one.
+    Their bodies are read as text, which keeps the order of names. Where a string may look like an object (not ``plain``), they
+    are read a second time as variants, which tell the two apart.
     """
     texts, values = F.from_json(body, "map<string,string>"), F.from_json(body, "map<string,variant>")
     items, variants = F.from_json(body, "array<string>"), F.from_json(body, "array<variant>")
-    both = F.when(kind == "{", F.arrays_zip(F.map_values(texts).alias("body"), F.transform(F.map_values(values), _kind).alias("kind")))
-    both = both.otherwise(F.arrays_zip(items.alias("body"), F.transform(variants, _kind).alias("kind")))
+
+    def with_first(found: Column) -> Column:
+        return F.transform(found, lambda t: F.struct(t.alias("body"), F.substring(t, 1, 1).alias("kind")))
+
+    both = (
+        F.when(plain & (kind == "{"), with_first(F.map_values(texts))).when(plain, with_first(items))
+        .when(kind == "{", F.arrays_zip(F.map_values(texts).alias("body"), F.transform(F.map_values(values), _kind).alias("kind")))
+        .otherwise(F.arrays_zip(items.alias("body"), F.transform(variants, _kind).alias("kind")))
+    )
     numbered = F.transform(both, lambda x, i: F.struct(i.alias("i"), x["kind"].alias("kind"), x["body"].alias("body")))
     return F.filter(numbered, lambda x: x["kind"].isin("{", "["))
 
 
-def _two_levels(kind: Column, body: Column) -> Column:
+def _two_levels(kind: Column, body: Column, plain: Column) -> Column:
     """Children and their children: (path from here, kind, body); a path's numbers fall, so that it sorts in visiting order."""
     def and_below(c: Column) -> Column:
         own = F.struct(F.array(-c["i"]).alias("path"), c["kind"].alias("kind"), c["body"].alias("body"))
-        return F.concat(F.array(own), F.transform(_children(c["kind"], c["body"]), lambda g: F.struct(F.array(-c["i"], -g["i"]).alias("path"), g["kind"].alias("kind"), g["body"].alias("body"))))
+        return F.concat(F.array(own), F.transform(_children(c["kind"], c["body"], plain), lambda g: F.struct(F.array(-c["i"], -g["i"]).alias("path"), g["kind"].alias("kind"), g["body"].alias("body"))))
+
+    return F.flatten(F.transform(_children(kind, body, plain), and_below))
+
 
-    return F.flatten(F.transform(_children(kind, body), and_below))
+def _in_a_row(kind: Column, body: Column, plain: Column, depth: int = 0) -> Column:
+    """An object or array and what is in it down to IN_A_ROW levels: (depth, kind, body) in visiting order."""
+    own = F.array(F.struct(F.lit(depth).alias("depth"), kind.alias("kind"), body.alias("body")))
+    if depth == IN_A_ROW:
+        return own
+    below = F.transform(F.reverse(_children(kind, body, plain)), lambda c: _in_a_row(c["kind"], c["body"], plain, depth + 1))
+    return F.concat(own, F.flatten(below))
 
 
 def json_objects(payloads: DataFrame) -> DataFrame:
     """Every JSON object at any depth of ``body``, one row each: pos, depth, object (its JSON).
 
-    ``pos`` numbers a payload's objects, parents first and the last child before its siblings. The walk goes down two
-    levels at a time; what it finds is staged and gives the next ones, until there are no objects or arrays below. Bodies that cannot be read give no
-    rows; ``unreadable`` lists them. A body's objects are numbered by one window, which holds no more than that one row gave.
+    ``pos`` numbers a payload's objects, parents first and the last child before its siblings. A payload of fewer than IN_A_ROW
+    levels is walked within its row. Deeper ones go down two levels at a time; what is found is staged and gives the next ones,
+    until there are no objects or arrays below, and a payload's objects are numbered by one window. Bodies that cannot be read
+    give no rows; ``unreadable`` lists them.
     """
     keep = [c for c in payloads.columns if c != "body"]
     readable = payloads.where(F.try_parse_json("body").isNotNull())
     kind = F.substring(F.btrim("body", F.lit(" \t\r\n")), 1, 1)
+    root = readable.select(*keep, kind.alias("_kind"), F.col("body").alias("_body"), (~F.col("body").rlike(_LOOKALIKE)).alias("_plain")).where(F.col("_kind").isin("{", "["))
+    walked = _once(root, _in_a_row(F.col("_kind"), F.col("_body"), F.col("_plain")).alias("_found"), keep=[*keep, "_plain"])
+    deep = F.exists("_found", lambda o: o["depth"] == IN_A_ROW)
+    # Of a deeper payload only the root is taken, which begins the walk by levels.
+    taken = F.when(deep, F.slice("_found", 1, 1)).otherwise(F.filter("_found", lambda o: o["kind"] == "{"))
+    rows = walked.select(*keep, "_plain", deep.alias("_deep"), F.posexplode(taken).alias("pos", "o"))
+    found = stage(rows.select(*keep, "_plain", "_deep", "pos", F.col("o.depth").alias("depth"), F.col("o.kind").alias("_kind"), F.col("o.body").alias("object")), "objects")
+    out = found.where(~F.col("_deep")).select(*keep, "pos", "depth", "object")
+    below = found.where("_deep")
+    return out if below.isEmpty() else out.unionByName(_by_levels(below.select(*keep, "_plain", "_kind", F.col("object").alias("_body")), keep))
+
+
+def _by_levels(roots: DataFrame, keep: list[str]) -> DataFrame:
+    """The walk of payloads of any depth, two levels at a time."""
     # Numbered once and staged, a payload keeps its number however often a task runs.
-    root = readable.select(*keep, F.monotonically_increasing_id().alias("_payload"), F.array().cast("array<int>").alias("_path"), kind.alias("_kind"), F.col("body").alias("_body"))
-    level = stage(root.where(F.col("_kind").isin("{", "[")), "level")
+    held = [*keep, "_payload", "_plain"]
+    level = stage(roots.select(*keep, F.monotonically_increasing_id().alias("_payload"), "_plain", F.array().cast("array<int>").alias("_path"), "_kind", "_body"), "level")
     found, depth = level, 0
     while True:
-        below = level.select(*keep, "_payload", "_path", F.explode(_two_levels(F.col("_kind"), F.col("_body"))).alias("c"))
-        rows = stage(below.select(*keep, "_payload", F.concat("_path", "c.path").alias("_path"), F.col("c.kind").alias("_kind"), F.col("c.body").alias("_body")), "level")
+        below = level.select(*held, "_path", F.explode(_two_levels(F.col("_kind"), F.col("_body"), F.col("_plain"))).alias("c"))
+        rows = stage(below.select(*held, F.concat("_path", "c.path").alias("_path"), F.col("c.kind").alias("_kind"), F.col("c.body").alias("_body")), "level")
         found, depth = found.unionByName(rows), depth + 2
         level = rows.where(F.size("_path") == depth)
         if level.isEmpty():
@@ -289,14 +330,14 @@ def job_nodes(objects: DataFrame) -> DataFrame:
     currency = text.clean(field("amountCurrencyCode", "currencyCode"))
     hourly = F.when((low != "") | (high != ""), F.concat(F.lit("Hourly: "), text.or_default(low, "?"), F.lit("-"), text.or_default(high, "?")))
     fixed = F.when(amount != "", F.trim(F.concat(F.lit("Budget: "), amount, F.lit(" "), currency)))
-    nodes = objects.where(hinted).select(
-        *keep,
+    nodes = _once(
+        objects.where(hinted),
         text.clean(field("title", "jobTitle", "name", "headline")).alias("title"),
         text.strip_html(field("description", "summary", "snippet", "details", "workDescription")).alias("_desc"),
         F.concat_ws(" ", hourly, fixed).alias("_budget"),
         text.clean(field("jobPostingUrl", "jobUrl", "canonicalUrl", "url", "link")).alias("link"),
         text.clean(field("id", "jobId", "jobPostingId", "uid", "uuid")).alias("guid"),
-        F.when(number.isNotNull(), keys.iso_or_blank(keys.from_epoch(keys.epoch_or_millis(number)))).otherwise(text.clean(date_text)).alias("pubDate"),
+        F.when(number.isNotNull(), keys.iso_or_blank(keys.from_epoch(keys.epoch_or_millis(number)))).otherwise(text.clean(date_text)).alias("pubDate"), keep=keep,
     )
     described = nodes.withColumn("_desc", text.or_default(F.col("_desc"), F.col("_budget"))).where((F.col("title") != "") | (F.col("_desc") != ""))
     fallback = F.sha1(F.concat_ws("|", "query", "title", "link", F.col("pos").cast("string")))
@@ -336,8 +377,9 @@ def job_page_chunks(pages: DataFrame, limit: int | None, compat: bool = False) -
 
 def job_reviews(items: DataFrame) -> DataFrame:
     """(query, category, title, description, link, guid, pubDate, provider); query signals skip the gate."""
-    described = items.withColumn("title", text.clean(F.col("title"))).withColumn("description", text.strip_html(F.col("description")))
-    described = described.withColumn("content", text.clean(F.concat_ws(". ", "title", "description")))
+    others = [c for c in items.columns if c not in ("title", "description")]
+    described = _once(items, text.clean(F.col("title")).alias("title"), text.strip_html(F.col("description")).alias("description"), keep=others)
+    described = _once(described, text.clean(F.concat_ws(". ", "title", "description")).alias("content"))
     kept = described.where((F.col("provider") == "query_signal") | gates.job(F.col("content")))
     fallback = F.sha1(F.concat_ws("|", "query", "title", "link"))
     raw = F.struct("query", "title", "description", text.budget(F.col("description")).alias("budget_hint"), "link", "pubDate", "provider")
