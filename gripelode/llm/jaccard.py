@@ -7,12 +7,12 @@ size band at least s + 1 blocks are equal, and a set with at most s empty blocks
 blocks also send blocks under another seed.
 
 Blocks held by at most COLD sets give all their pairs; a pair goes on if its blocks, with the empty and the hot ones that it
-may share, are the s + 1 that a link needs. Blocks held by more are worked off without pairing all members:
-every member is compared with one pivot of the group, and a linked pair whose members are not both linked with the pivot
-either shares a shingle that the pivot lacks (the next round's groups) or consists of sets that lost shingles of the pivot
-without gaining as many (a bound on the counts finds these). Once the pairs of all large groups are no more than PAIRED per
-member, or after ROUNDS, the groups give all their pairs, so no link is lost. A set with at most s empty or hot blocks leaves
-its hot blocks, since any link of it shows in another block.
+may share, are the s + 1 that a link needs. The holders of a block held by more sets are one group, named by its pivot, the
+holder of most such blocks; groups whose pivots hold a block of a better pivot are merged. Every member is compared with the
+pivot. What is left are the pairs of a group in different components: the members meet in tiles of at most PAIRED x PAIRED
+sets, where sets with too few shingles that another set of the tile holds go first and the others are compared by matrix
+products. A tile gives one link for each two components that it joins, so neither rows nor memory grow with the pairs of a
+group. A set with at most s empty or hot blocks leaves its hot blocks, since any link of it shows in another block.
 All candidate pairs are verified on the full sets.
 """
 
@@ -21,14 +21,17 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gripelode.llm import common, words
 
-COLD, ROUNDS, SEEDS, FAMILY_STEPS = 16, 5, 3, 2
-PAIRED = 16  # probing members of a group that gives its pairs at once
+COLD, SEEDS, JUMPS = 16, 3, 1
+PAIRED = 2048  # sets of a tile's side
+TILE_BYTES = 4 << 20  # of the shingles of a tile's side
+BLOCK, COLUMNS = 1024, 2048  # of a tile's matrix products
 FLUSH = 700_000  # block keys that a task holds before it hands them on
 PER_BUCKET = 1_000_000
 HOT_KEYS = 1_000_000  # hot keys that are broadcast; with more, the keys of all sets are shuffled
@@ -192,7 +195,7 @@ def _runs(batches):
 
 
 def _held(size: int, percent: int, hot) -> Callable:
-    """Rows (key, node, free) of all keys, or of the hot ones if they are given."""
+    """Rows (node, free, keys) with all keys of a set, or the hot ones if they are given; free: the least of its keys."""
 
     def run(batches):
         wanted = None if hot is None else np.sort(np.frombuffer(hot.value, np.int64))
@@ -202,7 +205,13 @@ def _held(size: int, percent: int, hot) -> Callable:
                 at = np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)
                 keep = wanted[at] == keys
                 keys, nodes, free = keys[keep], nodes[keep], free[keep]
-            yield pa.record_batch([_ints(keys), _ints(nodes), _ints(free)], ["key", "node", "free"])
+            if not len(keys):
+                continue
+            order = np.argsort(nodes, kind="stable")
+            keys, nodes, free = keys[order], nodes[order], free[order]
+            first = np.flatnonzero(np.concatenate(([True], nodes[1:] != nodes[:-1])))
+            ends = pa.array(np.append(first, len(keys)), pa.int32())
+            yield pa.record_batch([_ints(nodes[first]), _ints(np.minimum.reduceat(free, first)), pa.ListArray.from_arrays(ends, _ints(keys))], ["node", "free", "keys"])
 
     return run
 
@@ -232,102 +241,97 @@ def _verify(percent: int) -> Callable:
     return run
 
 
-def _against_pivot(percent: int) -> Callable:
-    def run(batches):
-        for batch in batches:
-            out = []
-            for pivot, node, p, u in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                p, u = np.frombuffer(p, U), np.frombuffer(u, U)
-                own = np.setdiff1d(u, p, assume_unique=True)
-                x, y = len(own), len(p) - (len(u) - len(own))
-                far = 2 * percent * x + 200 * y - 2 * (100 - percent) * len(p)
-                out.append((pivot, node, far, y - x, own.astype(np.int64)))
-            yield pa.record_batch(
-                [_ints([r[0] for r in out]), _ints([r[1] for r in out]), _ints([r[2] for r in out]), _ints([r[3] for r in out]), pa.array([r[4] for r in out], pa.list_(pa.int64()))],
-                ["pivot", "node", "far", "lost", "own"],
-            )
+def linked_sets(sets: list[np.ndarray], roots: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links (i, j) that join all sets of different roots that link, one for each two components that they join."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    values, column, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    left, found = len(sets) + 1, np.ones(len(sets), bool)
+    while found.sum() < left:  # a shingle that one set holds links nothing; sets go that have too few others
+        left = found.sum()
+        shared = np.bincount(owner, (held > 1)[column], len(sets))
+        found &= shared * 100 >= percent * sizes
+        keep = found[owner]
+        owner, column = owner[keep], column[keep]
+        held = np.bincount(column, minlength=len(values))
+    which = np.flatnonzero(found)
+    new = np.cumsum(held > 1) - 1
+    keep = held[column] > 1
+    owner, column = np.searchsorted(which, owner[keep]), new[column[keep]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    label = np.unique(roots, return_inverse=True)[1][which]
+    out = []
+    for a in range(0, len(which), BLOCK):
+        both = np.zeros((min(BLOCK, len(which) - a), len(which)), np.float32)
+        for c in range(0, int(new[-1]) + 1, COLUMNS):
+            part = slice(*np.searchsorted(column, (c, c + COLUMNS)))
+            for b in range(a // BLOCK * BLOCK, len(which), BLOCK):
+                x, y = (np.zeros((min(BLOCK, len(which) - at), COLUMNS), np.float32) for at in (a, b))
+                for to, at in ((x, a), (y, b)):
+                    mine = (owner[part] >= at) & (owner[part] < at + len(to))
+                    to[owner[part][mine] - at, column[part][mine] - c] = 1
+                both[:, b : b + len(y)] += x @ y.T
+        for i, row in enumerate(both.astype(np.int64), a):
+            near = np.flatnonzero((row * (100 + percent) >= percent * (sizes[which] + sizes[which[i]])) & (label != label[i]))
+            for j in near[np.unique(label[near], return_index=True)[1]]:
+                out.append((int(which[i]), int(which[j])))
+                label[label == label[j]] = label[i]
+    return out
+
+
+def _tile(percent: int) -> Callable:
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        sets = [np.frombuffer(s, U) for s in rows["shingles"]]
+        nodes = rows["node"].to_numpy()
+        links = np.array(linked_sets(sets, rows["root"].to_numpy(), percent), np.int64).reshape(-1, 2)
+        return pd.DataFrame({"a": nodes[links[:, 0]], "b": nodes[links[:, 1]]})
 
     return run
 
 
-def _labelled(members: DataFrame, roots: DataFrame) -> DataFrame:
-    return members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-
-
-def _pairs(members: DataFrame) -> DataFrame:
-    """Pairs of a probing member and any member of its group that are not known to be connected."""
-    left = members.where("probe").select("gid", F.col("node").alias("_u"), F.col("root").alias("_ru"))
-    right = members.select("gid", F.col("node").alias("_v"), F.col("root").alias("_rv"))
-    return left.join(right, "gid").where("_ru <> _rv").select(F.least("_u", "_v").alias("a"), F.greatest("_u", "_v").alias("b"))
+def _sides(which: Column) -> Column:
+    """How many sides of tiles the rows need."""
+    return F.greatest(F.ceil(F.count_if(which) / max(PAIRED, 1)), F.ceil(F.coalesce(F.sum(F.when(which, F.col("bytes"))), F.lit(0)) / TILE_BYTES)).cast("int")
 
 
-def _sizes(members: DataFrame) -> DataFrame:
-    """(gid, n, pairs) of the groups whose sets are not yet all connected; n: probing members."""
-    size = members.groupBy("gid").agg(F.count_if("probe").alias("n"), F.count(F.lit(1)).alias("_k"), F.min("root").alias("_x"), F.max("root").alias("_y"))
-    return size.where("n > 0 and _x <> _y").select("gid", "n", (F.col("n") * F.col("_k")).alias("pairs"))
+def _tiled(members: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join all members of one group that link; members: gid, node, where the gid is a node too.
 
-
-def _sharing(shown: DataFrame, percent: int) -> DataFrame:
-    """Groups (gid, node, weight, probe) that hold every linked pair not wholly linked with its pivot.
-
-    A set that is ``far`` from the pivot shares at least ``c`` shingles outside the pivot with any set it links with, so
-    it probes with all but its c - 1 most frequent ones; the other set is found under all of its own.
-    """
-    unlinked = ~F.col("linked")
-    edge = shown.groupBy("pivot").agg(F.min(F.when(unlinked, F.col("far"))).alias("least"), F.max("lost").alias("most")).where("least is not null")
-    known = shown.join(edge, "pivot")
-    weight = (-F.col("far")).alias("weight")
-    near = known.where(F.when(F.col("linked"), 2 * percent * F.col("lost") >= F.col("least")).otherwise(F.col("far") <= 2 * percent * F.col("most")))
-    near = near.select(F.xxhash64("pivot", F.lit("lost")).alias("gid"), "node", weight, unlinked.alias("probe"))
-    c = F.greatest(F.lit(1), F.ceil((F.col("far") - 2 * percent * F.col("most")) / F.lit(2.0 * (100 + percent))))
-    own = known.withColumn("c", c).select("pivot", "node", "far", "linked", "c", F.explode("own").alias("s"))
-    held = own.groupBy("pivot", "s").agg(F.count(F.lit(1)).alias("n"), F.bool_and("linked").alias("done")).where("n > 1 and not done")
-    own = own.join(held.drop("done"), ["pivot", "s"])
-    of_set = Window.partitionBy("pivot", "node")
-    own = own.withColumn("rank", F.row_number().over(of_set.orderBy("n", "s"))).withColumn("k", F.count(F.lit(1)).over(of_set))
-    probe = unlinked & (F.col("rank") <= F.col("k") - F.col("c") + 1)
-    return near.unionByName(own.select(F.xxhash64("pivot", "s").alias("gid"), "node", weight, probe.alias("probe")))
-
-
-def _families(held: DataFrame) -> DataFrame:
-    """Groups (gid, node, weight, probe) in which any two holders of one hot key meet; held: key, node, weight.
-
-    A key's group is the smallest key that it reaches in FAMILY_STEPS steps over common holders, so that keys held by much
-    the same sets share a group and a pivot; keys that need more steps stay in groups of their own.
+    Members in the component of their gid meet all others of the group, and these each other.
     """
-    labels = held.withColumn("gid", F.col("key"))
-    for _ in range(FAMILY_STEPS):
-        per_node = labels.groupBy("node").agg(F.min("gid").alias("gid"))
-        per_key = held.join(per_node, "node").groupBy("key").agg(F.min("gid").alias("gid"))
-        labels = held.join(common.small(common.stage(per_key, "families")), "key")
-    return labels.select("gid", "node", "weight", F.lit(True).alias("probe")).distinct()
+    known = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    known = common.stage(known.join(sets.select("node", F.octet_length("shingles").alias("bytes")), "node"), "known")
+    main = known.where("gid = node").select("gid", F.col("root").alias("main"))
+    known = known.join(common.small(main), "gid").withColumn("other", F.col("root") != F.col("main"))
+    sides = known.groupBy("gid").agg(_sides(~F.col("other")).alias("x"), _sides(F.col("other")).alias("y")).where("y > 0")
+    known = known.join(common.small(common.stage(sides, "sides")), "gid")
+    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    known = known.withColumn("t", F.when(F.col("other"), F.col("x") + own("y")).otherwise(own("x")))
+    known = known.withColumn("s", F.explode(F.sequence(F.when(F.col("other"), F.lit(0)).otherwise(F.col("x")), F.col("x") + F.col("y") - 1)))
+    dealt = known.select("gid", F.least("t", "s").alias("i"), F.greatest("t", "s").alias("j"), "node", "root").join(sets, "node")
+    return dealt.groupBy("gid", "i", "j").applyInPandas(_tile(percent), "a long, b long")
+
+
+def _groups(held: DataFrame) -> DataFrame:
+    """Groups (gid, node) in which any two holders of one key meet; held: node, keys. A group's gid is the node of its pivot."""
+    each = held.select("node", F.struct(F.size("keys").alias("weight"), "node").alias("me"), F.explode("keys").alias("key"))
+    pivots = each.groupBy("key").agg(F.max("me").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    members = common.stage(each.join(common.small(common.stage(pivots, "pivots")), "key").select("node", "pivot").distinct(), "members")
+    for _ in range(JUMPS):
+        better = members.groupBy(F.col("node").alias("_of")).agg(F.max("pivot").alias("_to"))
+        better = better.join(members.select(F.col("pivot.node").alias("_of")).distinct(), "_of", "left_semi")
+        members = members.join(common.small(better), members["pivot.node"] == F.col("_of")).select("node", F.col("_to").alias("pivot")).distinct()
+    members = members.select(F.col("pivot.node").alias("gid"), "node")
+    return members.unionByName(members.select("gid", F.col("gid").alias("node"))).distinct()
 
 
 def _hot_roots(members: DataFrame, links: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Components (node, root) of the links in large groups and those given; members: gid, node, weight (the largest is the pivot)."""
-    roots, few = None, PAIRED * members.count()
-    for step in range(ROUNDS):
-        pivots = members.groupBy("gid").agg(F.max_by("node", F.struct("weight", "node")).alias("pivot"))
-        against = members.join(pivots, "gid").where("node <> pivot").select("pivot", "node").distinct()
-        shown = against.join(sets.select(F.col("node").alias("pivot"), F.col("shingles").alias("p")), "pivot").join(sets.select("node", F.col("shingles").alias("u")), "node")
-        shown = shown.select("pivot", "node", "p", "u").mapInArrow(_against_pivot(percent), "pivot long, node long, far long, lost long, own array<long>")
-        shown = common.stage(shown.withColumn("linked", F.col("far") <= 0), f"pivot{step}")
-        linked = shown.where("linked").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-        roots = common.joined_roots(roots, linked) if step else common.stage(common.components(links.unionByName(linked)), "roots")
-        groups = common.stage(_labelled(_sharing(shown, percent), roots), f"sharing{step}")
-        sizes = common.stage(_sizes(groups), f"sizes{step}")
-        hot = F.col("n") > PAIRED
-        pending = sizes.agg(F.sum(F.when(hot, F.col("pairs")))).first()[0] or 0
-        last = pending <= few or step == ROUNDS - 1
-        cold = groups.join(sizes.where(F.lit(last) | ~hot).select("gid"), "gid")
-        found = common.stage(_verified(_pairs(cold).distinct(), sets, percent), "links")
-        roots = common.joined_roots(roots, found)
-        common.drop(shown, found, members)
-        if last:
-            common.drop(groups, sizes)
-            return roots
-        members = common.stage(groups.join(sizes.where(hot).select("gid"), "gid"), f"groups{step}")
-        common.drop(groups, sizes)
+    """Components (node, root) of the links in groups (gid, node) and those given."""
+    against = members.where("gid <> node").select(F.col("gid").alias("a"), F.col("node").alias("b"))
+    linked = _verified(against, sets, percent)
+    roots = common.stage(common.components(links.unionByName(linked)), "roots")
+    return common.joined_roots(roots, common.stage(_tiled(members, roots, sets, percent), "links"))
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
@@ -362,12 +366,14 @@ def find_roots(spark: SparkSession, texts: DataFrame, rows: DataFrame, size: int
     some = None
     if n_hot <= HOT_KEYS:
         some = spark.sparkContext.broadcast(np.array([r[0] for r in hot.collect()], np.int64).tobytes())
-    empty = spark.createDataFrame([], "key long, node long, free long")
-    held = texts.mapInArrow(_held(size, percent, some), "key long, node long, free long") if n_hot else empty
-    held = common.stage((held if some else held.join(hot, "key", "left_semi")).distinct(), "held")
+    shape = "node long, free long, keys array<long>"
+    held = texts.mapInArrow(_held(size, percent, some), shape).dropDuplicates(["node"]) if n_hot else spark.createDataFrame([], shape)
+    if n_hot > HOT_KEYS:
+        held = held.select("node", "free", F.explode("keys").alias("key")).join(hot, "key", "left_semi").groupBy("node").agg(F.min("free").alias("free"), F.collect_set("key").alias("keys"))
+    held = common.stage(held, "held")
     # Linked sets have s + 1 blocks in common: all but the empty ones and the hot ones show among the cold keys.
     sets = found.where(F.col("kind") == SET).select(F.col("a").alias("node"), F.col("b").alias("size"), F.col("n").alias("free")).distinct()
-    sets = sets.join(held.groupBy("node").agg(F.count(F.lit(1)).alias("hot")), "node", "left").select("node", F.struct("size", "free", F.coalesce("hot", F.lit(0)).alias("hot")).alias("about"))
+    sets = sets.join(held.select("node", F.size("keys").alias("hot")), "node", "left").select("node", F.struct("size", "free", F.coalesce("hot", F.lit(0)).alias("hot")).alias("about"))
     sets = common.stage(sets, "sizes")
     pairs = found.where(F.col("kind") == PAIR).groupBy("a", "b").agg(F.sum("n").alias("n"))
     pairs = pairs.join(sets.withColumnsRenamed({"node": "a", "about": "x"}), "a").join(sets.withColumnsRenamed({"node": "b", "about": "y"}), "b")
@@ -375,12 +381,10 @@ def find_roots(spark: SparkSession, texts: DataFrame, rows: DataFrame, size: int
     pairs = common.stage(pairs.select("a", "b"), "candidates")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     links = common.stage(_verified(pairs, set_bytes(texts, rows, wanted, size), percent), "links")
-    per_node = held.groupBy("node").agg(F.count(F.lit(1)).alias("weight"), F.min("free").alias("free"))
-    unsafe = per_node.where("free < 0 or weight > free").select("node", "weight")
-    held = common.stage(held.join(unsafe, "node").select("key", "node", "weight"), "held")
+    held = held.where((F.col("free") < 0) | (F.size("keys") > F.col("free")))
     if held.isEmpty():
         return common.components(links)
-    members = common.stage(_families(held), "members")
+    members = common.stage(_groups(held), "groups")
     sets = set_bytes(texts, rows, members.select("node").distinct(), size)
     return _hot_roots(members, links, sets, percent)
 

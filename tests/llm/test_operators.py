@@ -96,6 +96,41 @@ def test_jaccard_keeps_odd_rows(docs):
     assert Counter((r["doc_id"], r["component_id"], r["n_copies"]) for r in found) == {(None, 5, 3): 1, (5, 5, 3): 2, (7, 7, 1): 1}
     assert jaccard.classes(docs([])).count() == 0
 
+def test_near_copies_make_rows_in_proportion(docs, monkeypatch):
+    made, stage = Counter(), common.stage
+
+    def counted(df, name):
+        out = stage(df, name)
+        made[name.rstrip("0123456789")] += out.count()
+        return out
+
+    monkeypatch.setattr(common, "stage", counted)
+    rng = random.Random(4)
+    texts = family(rng, 200, 10) + family(rng, 200, 30)
+    sets = [shingles(t) for t in texts]
+    links = [(i, j) for i, j in itertools.combinations(range(len(texts)), 2) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    found = {r["doc_id"]: r["component_id"] for r in jaccard.classes(docs(enumerate(texts))).collect()}
+    assert found == smallest_reachable(range(len(texts)), links) and len(links) > 300
+    assert max(n for name, n in made.items() if name not in ("pairs", "candidates")) <= 5 * len(texts), made  # those two: cold blocks, held by at most COLD sets
+
+
+def test_tiles_join_what_links():
+    rng = np.random.default_rng(6)
+    base = rng.choice(1 << 40, 90, replace=False).astype(np.uint64)
+    sets = [np.sort(np.concatenate((rng.choice(base, 90 - k % 14, replace=False), rng.choice(1 << 40, k % 9).astype(np.uint64)))) for k in range(70)]
+    roots = np.arange(70) // 3
+    linked = [(i, j) for i, j in itertools.combinations(range(70), 2) if 180 * len(np.intersect1d(sets[i], sets[j])) >= 80 * (len(sets[i]) + len(sets[j]))]
+    known = [(i, 3 * (i // 3)) for i in range(70)]
+    for block, columns in ((jaccard.BLOCK, jaccard.COLUMNS), (16, 7)):
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(jaccard, "BLOCK", block)
+            m.setattr(jaccard, "COLUMNS", columns)
+            found = jaccard.linked_sets(sets, roots, 80)
+        assert set(map(tuple, map(sorted, found))) <= set(linked) and len(found) < 70
+        same = lambda pairs: smallest_reachable(range(70), [p for p in known + pairs if p[0] != p[1]])
+        assert same(found) == same(linked)
+    assert jaccard.linked_sets([base, base[:1]], np.arange(2), 80) == []
+
 
 def test_sketches_bound_the_difference():
     rng = np.random.default_rng(5)
