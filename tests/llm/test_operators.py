@@ -114,6 +114,18 @@ def test_near_copies_make_rows_in_proportion(docs, monkeypatch):
     assert max(n for name, n in made.items() if name not in ("pairs", "candidates")) <= 5 * len(texts), made  # those two: cold blocks, held by at most COLD sets
 
 
+def test_holders_of_a_block_meet_in_few_groups(spark):
+    rng = random.Random(8)
+    held = {n: sorted({rng.randrange(30) + 20 * (n % 4) for _ in range(rng.randrange(1, 12))}) for n in range(200)}
+    rows = jaccard._groups(spark.createDataFrame([(n, keys) for n, keys in held.items()], "node long, keys array<long>")).collect()
+    groups = defaultdict(set)
+    for r in rows:
+        groups[r["node"]].add(r["gid"])
+    assert len(rows) == sum(map(len, groups.values())) and all(g in groups[g] for r in rows for g in [r["gid"]])
+    assert all(groups[a] & groups[b] for a, b in itertools.combinations(held, 2) if set(held[a]) & set(held[b]))
+    assert len(rows) < sum(map(len, held.values())) / 2
+
+
 def test_tiles_join_what_links():
     rng = np.random.default_rng(6)
     base = rng.choice(1 << 40, 90, replace=False).astype(np.uint64)
