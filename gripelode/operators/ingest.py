@@ -21,14 +21,10 @@ REVIEW_COLUMNS = [
 
 def canonical(df: DataFrame, scraped_at: Column) -> DataFrame:
     """Normalised source rows in the shape of the reviews table, with their fingerprint."""
-    cleaned = df.select(
-        *[text.clean(F.col(c)).alias(c) for c in ("source", "source_item_id", "entity_id", "entity_name")],
-        text.or_default(text.clean(F.col("category")), "Unknown").alias("category"),
-        text.clean(F.col("reviewer_name")).alias("reviewer_name"), F.col("rating").cast("double").alias("rating"),
-        *[text.clean(F.col(c)).alias(c) for c in ("comment_text", "posted_at", "url", "country")],
-        text.or_default(text.clean(F.col("language")), "en").alias("language"), "raw_json",
-    )
-    fp = keys.fingerprint(*[F.col(c) for c in ("source", "source_item_id", "entity_id", "reviewer_name", "comment_text", "posted_at")])
+    names = ["source", "source_item_id", "entity_id", "entity_name", "category", "reviewer_name", "comment_text", "posted_at", "url", "country", "language"]
+    cleaned = text.with_clean(df.select(*names, F.col("rating").cast("double").alias("rating"), "raw_json"), names)
+    cleaned = cleaned.withColumns({"category": text.or_default(F.col("category"), "Unknown"), "language": text.or_default(F.col("language"), "en")})
+    fp = keys.clean_fingerprint(*[F.col(c) for c in ("source", "source_item_id", "entity_id", "reviewer_name", "comment_text", "posted_at")])
     return (
         cleaned.withColumn("fingerprint", fp).withColumn("scraped_at", scraped_at)
         .withColumn("enriched_at", F.lit(None).cast("timestamp_ntz")).select(*REVIEW_COLUMNS)

@@ -148,7 +148,8 @@ ATOM_SCHEMA = (
     "struct<entry:array<struct<title:string,summary:string,content:string,id:string,updated:string,"
     "link:array<struct<_href:string>>>>>"
 )
-RSS_SCHEMA = "struct<channel:struct<item:array<struct<title:string,description:string,link:string,guid:string,pubDate:string>>>>"
+_RSS_FIELDS = ["title", "description", "link", "guid", "pubDate"]
+RSS_SCHEMA = "struct<channel:struct<item:array<struct<" + ",".join(f"{c}:string" for c in _RSS_FIELDS) + ">>>>"
 
 
 def atom_entries(feeds: DataFrame) -> DataFrame:
@@ -166,7 +167,7 @@ def atom_entries(feeds: DataFrame) -> DataFrame:
 
 def atom_reviews(feeds: DataFrame) -> DataFrame:
     """(query, category, body: Atom XML)"""
-    entries = _once(atom_entries(feeds), text.clean(F.concat_ws(". ", "title", "summary")).alias("content"))
+    entries = _once(atom_entries(feeds), F.trim(F.concat_ws(". ", "title", "summary")).alias("content"))
     fallback = F.sha1(F.concat(F.lit("producthunt-feed:"), "query", F.lit(":"), "link", F.lit(":"), "title"))
     return _rows(
         entries.where(gates.launch(F.col("content"), F.col("query"))), source=F.lit("product_hunt"),
@@ -187,10 +188,8 @@ JOB_SEARCH = "https://www.upwork.com/nx/search/jobs/?q={q}&sort=recency"
 def rss_items(feeds: DataFrame) -> DataFrame:
     keep = [c for c in feeds.columns if c != "body"]
     items = feeds.select(*keep, F.posexplode(F.from_xml("body", RSS_SCHEMA)["channel"]["item"]).alias("pos", "i"))
-    return items.select(
-        *keep, "pos", text.clean(F.col("i.title")).alias("title"), text.strip_html(F.col("i.description")).alias("description"),
-        *[text.clean(F.col(f"i.{c}")).alias(c) for c in ("link", "guid", "pubDate")], F.lit("rss").alias("provider"),
-    )
+    tidy = text.with_clean(items.select(*keep, "pos", *[f"i.{c}" for c in _RSS_FIELDS]), _RSS_FIELDS)
+    return tidy.withColumns({"description": text.strip_clean_html(F.col("description")), "provider": F.lit("rss")})
 
 
 _DATASET_ITEM = "struct<title:string,description:string,url:string,link:string,id:string,jobId:string,publishedAt:string,createdAt:string>"
@@ -205,13 +204,11 @@ def dataset_items(payloads: DataFrame) -> DataFrame:
     rows = payloads.select(*keep, F.posexplode(items).alias("pos", "i")).where(F.col("i").isNotNull())
 
     def first(*names: str) -> Column:
-        return text.clean(F.coalesce(*[F.nullif(F.col(f"i.{n}"), F.lit("")) for n in names]))
+        return F.coalesce(*[F.nullif(F.col(f"i.{n}"), F.lit("")) for n in names])
 
-    return rows.select(
-        *keep, "pos", text.clean(F.col("i.title")).alias("title"), text.strip_html(F.col("i.description")).alias("description"),
-        first("url", "link").alias("link"), first("id", "jobId").alias("guid"), first("publishedAt", "createdAt").alias("pubDate"),
-        F.lit("dataset").alias("provider"),
-    )
+    read = rows.select(*keep, "pos", "i.title", "i.description", first("url", "link").alias("link"), first("id", "jobId").alias("guid"), first("publishedAt", "createdAt").alias("pubDate"))
+    tidy = text.with_clean(read, _RSS_FIELDS)
+    return tidy.withColumns({"description": text.strip_clean_html(F.col("description")), "provider": F.lit("dataset")})
 
 
 def _kind(value: Column) -> Column:
@@ -224,6 +221,11 @@ _LOOKALIKE = r'"(?:[{\[]|\\u00[57][bB])'
 IN_A_ROW = 8  # levels below a root that are walked within its row
 
 
+def _flat(body: Column) -> Column:
+    """Without a bracket after the first there is nothing below, which needs no parser."""
+    return (F.locate("{", body, 2) == 0) & (F.locate("[", body, 2) == 0)
+
+
 def _children(kind: Column, body: Column, plain: Column) -> Column:
     """The objects and arrays directly inside an object or array: (i, kind, body) in document order.
 
@@ -260,7 +262,7 @@ def _in_a_row(kind: Column, body: Column, plain: Column, depth: int = 0) -> Colu
     if depth == IN_A_ROW:
         return own
     below = F.transform(F.reverse(_children(kind, body, plain)), lambda c: _in_a_row(c["kind"], c["body"], plain, depth + 1))
-    return F.concat(own, F.flatten(below))
+    return F.when(_flat(body), own).otherwise(F.concat(own, F.flatten(below)))
 
 
 def json_objects(payloads: DataFrame) -> DataFrame:
@@ -273,7 +275,7 @@ def json_objects(payloads: DataFrame) -> DataFrame:
     """
     keep = [c for c in payloads.columns if c != "body"]
     readable = payloads.where(F.try_parse_json("body").isNotNull())
-    kind = F.substring(F.btrim("body", F.lit(" \t\r\n")), 1, 1)
+    kind = F.substring(F.ltrim("body", F.lit(" \t\r\n")), 1, 1)
     root = readable.select(*keep, kind.alias("_kind"), F.col("body").alias("_body"), (~F.col("body").rlike(_LOOKALIKE)).alias("_plain")).where(F.col("_kind").isin("{", "["))
     walked = _once(root, _in_a_row(F.col("_kind"), F.col("_body"), F.col("_plain")).alias("_found"), keep=[*keep, "_plain"])
     deep = F.exists("_found", lambda o: o["depth"] == IN_A_ROW)
@@ -315,29 +317,37 @@ def unreadable(payloads: DataFrame) -> DataFrame:
     return payloads.where(F.try_parse_json("body").isNull()).withColumn("reason", reason).drop("body")
 
 
+#: Where a job item's fields are found, the first spelling first.
+JOB_FIELDS = {
+    "title": ["title", "jobTitle", "name", "headline"], "description": ["description", "summary", "snippet", "details", "workDescription"],
+    "date": ["publishedOn", "publishedAt", "createdAt", "createTime"], "low": ["hourlyBudgetMin"], "high": ["hourlyBudgetMax"], "amount": ["amount"],
+    "currency": ["amountCurrencyCode", "currencyCode"], "link": ["jobPostingUrl", "jobUrl", "canonicalUrl", "url", "link"],
+    "guid": ["id", "jobId", "jobPostingId", "uid", "uuid"],
+}
+
+
 def job_nodes(objects: DataFrame) -> DataFrame:
     """(query, pos, object, ...) to job items by the first non-blank of several spellings."""
     keep = [c for c in objects.columns if c not in ("object", "depth")]
-    objects = objects.withColumn("v", F.try_parse_json("object"))
+    hinted = F.arrays_overlap(F.json_object_keys("object"), text.words(lx.JOB_NODE_HINTS))
+    # All spellings are read in one walk over the object; each lookup by path would go through its names again.
+    held = "struct<" + ",".join(f"{name}:string" for names in JOB_FIELDS.values() for name in names) + ">"
+    objects = objects.where(hinted).select(*keep, F.try_variant_get(F.try_parse_json("object"), "$", held).alias("v"))
 
-    def field(*names: str) -> Column:
-        return F.coalesce(*[F.nullif(F.try_variant_get("v", f"$.{n}", "string"), F.lit("")) for n in names])
+    def field(name: str) -> Column:
+        return F.get(F.filter(F.array(*[F.col("v")[n] for n in JOB_FIELDS[name]]), lambda t: t != ""), F.lit(0))
 
-    hinted = F.arrays_overlap(F.json_object_keys("object"), text.words(lx.JOB_NODE_HINTS))
-    date_text = field("publishedOn", "publishedAt", "createdAt", "createTime")
-    number = F.when(date_text.rlike(r"^-?\d+(\.\d+)?([eE][+-]?\d+)?$"), date_text.try_cast("double"))
-    low, high, amount = (text.clean(field(n)) for n in ("hourlyBudgetMin", "hourlyBudgetMax", "amount"))
-    currency = text.clean(field("amountCurrencyCode", "currencyCode"))
+    def day(found: Column) -> Column:
+        number = F.when(found.rlike(r"^-?\d+(\.\d+)?([eE][+-]?\d+)?$"), found.try_cast("double"))
+        return F.when(number.isNotNull(), keys.iso_or_blank(keys.from_epoch(keys.epoch_or_millis(number)))).otherwise(text.clean(found))
+
+    low, high, amount, currency = (text.clean(field(n)) for n in ("low", "high", "amount", "currency"))
     hourly = F.when((low != "") | (high != ""), F.concat(F.lit("Hourly: "), text.or_default(low, "?"), F.lit("-"), text.or_default(high, "?")))
     fixed = F.when(amount != "", F.trim(F.concat(F.lit("Budget: "), amount, F.lit(" "), currency)))
     nodes = _once(
-        objects.where(hinted),
-        text.clean(field("title", "jobTitle", "name", "headline")).alias("title"),
-        text.strip_html(field("description", "summary", "snippet", "details", "workDescription")).alias("_desc"),
-        F.concat_ws(" ", hourly, fixed).alias("_budget"),
-        text.clean(field("jobPostingUrl", "jobUrl", "canonicalUrl", "url", "link")).alias("link"),
-        text.clean(field("id", "jobId", "jobPostingId", "uid", "uuid")).alias("guid"),
-        F.when(number.isNotNull(), keys.iso_or_blank(keys.from_epoch(keys.epoch_or_millis(number)))).otherwise(text.clean(date_text)).alias("pubDate"), keep=keep,
+        objects, text.clean(field("title")).alias("title"), text.strip_html(field("description")).alias("_desc"),
+        F.concat_ws(" ", hourly, fixed).alias("_budget"), text.clean(field("link")).alias("link"),
+        text.clean(field("guid")).alias("guid"), text.text_of(text.let(field("date"), day)).alias("pubDate"), keep=keep,
     )
     described = nodes.withColumn("_desc", text.or_default(F.col("_desc"), F.col("_budget"))).where((F.col("title") != "") | (F.col("_desc") != ""))
     fallback = F.sha1(F.concat_ws("|", "query", "title", "link", F.col("pos").cast("string")))
@@ -377,17 +387,18 @@ def job_page_chunks(pages: DataFrame, limit: int | None, compat: bool = False) -
 
 def job_reviews(items: DataFrame) -> DataFrame:
     """(query, category, title, description, link, guid, pubDate, provider); query signals skip the gate."""
-    others = [c for c in items.columns if c not in ("title", "description")]
-    described = _once(items, text.clean(F.col("title")).alias("title"), text.strip_html(F.col("description")).alias("description"), keep=others)
-    described = _once(described, text.clean(F.concat_ws(". ", "title", "description")).alias("content"))
+    tidy = text.with_clean(items.withColumns({"_link": F.col("link"), "_guid": F.col("guid"), "_date": F.col("pubDate")}), ["title", "description", "_link", "_guid", "_date"])
+    others = [c for c in tidy.columns if c != "description"]
+    described = _once(tidy, text.strip_clean_html(F.col("description")).alias("description"), keep=others)
+    described = _once(described, F.trim(F.concat_ws(". ", "title", "description")).alias("content"))
     kept = described.where((F.col("provider") == "query_signal") | gates.job(F.col("content")))
     fallback = F.sha1(F.concat_ws("|", "query", "title", "link"))
     raw = F.struct("query", "title", "description", text.budget(F.col("description")).alias("budget_hint"), "link", "pubDate", "provider")
     return _rows(
-        kept, source=F.lit("upwork"), source_item_id=text.or_default(text.clean(F.col("guid")), fallback), entity_id=F.col("query"),
+        kept, source=F.lit("upwork"), source_item_id=text.or_default(F.col("_guid"), fallback), entity_id=F.col("query"),
         entity_name=F.concat(F.lit("Upwork - "), "query"), category=F.coalesce("category", F.lit("Operations")),
-        reviewer_name=F.lit("client"), comment_text=F.col("content"), posted_ts=keys.parse_time(text.clean(F.col("pubDate"))),
-        url=text.or_default(text.clean(F.col("link")), _url(JOB_FEED, F.col("query"))), raw_json=F.to_json(raw),
+        reviewer_name=F.lit("client"), comment_text=F.col("content"), posted_ts=keys.parse_time(F.col("_date")),
+        url=text.or_default(F.col("_link"), _url(JOB_FEED, F.col("query"))), raw_json=F.to_json(raw),
     )
 
 

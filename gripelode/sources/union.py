@@ -57,8 +57,8 @@ def landed(frames: dict[str, DataFrame]) -> DataFrame:
     """Payloads of all shapes as (shape, attributes, body), staged by shape."""
     out = None
     for name, frame in frames.items():
-        held = F.to_json(F.struct(*[F.col(c).cast(t).alias(c) for c, t in SHAPES[name].attributes.items()]))
-        rows = frame.select(F.lit(name).alias("shape"), F.parse_json(held).alias("attributes"), "body")
+        held = F.struct(*[F.col(c).cast(t).alias(c) for c, t in SHAPES[name].attributes.items()])
+        rows = frame.select(F.lit(name).alias("shape"), F.to_variant_object(held).alias("attributes"), "body")
         out = rows if out is None else out.unionByName(rows)
     return stage(out, "landed", by="shape")
 
