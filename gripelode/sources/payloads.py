@@ -29,8 +29,11 @@ def _rows(df: DataFrame, **cols) -> DataFrame:
         "posted_ts": F.lit(None).cast("timestamp_ntz"),
     }
     made = {**defaults, **cols}
-    made.setdefault("posted_at", keys.iso_or_blank(made["posted_ts"]))
-    return df.select(*[made[c].alias(c) for c in OUT])
+    rows = df.select(*[made[c].alias(c) for c in OUT if c in made])
+    if "posted_at" not in made:
+        # From the column, so that a text is not parsed again for each piece of the time.
+        rows = rows.withColumn("posted_at", keys.iso_or_blank(F.col("posted_ts")))
+    return rows.select(*OUT)
 
 
 def _once(df: DataFrame, *made: Column, keep: list[str] | None = None) -> DataFrame:
@@ -362,7 +365,8 @@ def first_items(items: DataFrame, payload: list[str], order: list[Column], limit
     """Per payload the first item of every id, link or title, then at most ``limit`` items, or all of them."""
     named = items.withColumn("dedupe_key", F.coalesce(*[F.nullif(F.col(c), F.lit("")) for c in ("guid", "link", "title")]))
     named = named.where(F.col("dedupe_key").isNotNull())
-    first = top_rows(named, [*payload, "dedupe_key"], order, 1, "_first").drop("_first")
+    # Ids come first, since they differ early; a sort compares whole texts only where their beginnings are equal.
+    first = top_rows(named, ["dedupe_key", *payload], order, 1, "_first").drop("_first")
     return first if limit is None else top_rows(first, payload, order, limit, "item_rank")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gripelode.functions import keys, text
 from gripelode.operators import ingest
-from gripelode.sources import payloads, union
+from gripelode.sources import landing, payloads, union
 
 NAMES = ["source", "source_item_id", "entity_id", "entity_name", "category", "reviewer_name", "comment_text", "posted_at", "url", "country", "language"]
 ODD = ["", "plain words", " lead", "trail ", "two  blanks", "tab\there", "a\0b", "a b", "a|b", "a |b", "été", " ", "x\x1cy", "İ Σ", None]
@@ -71,3 +71,18 @@ def test_attributes_of_landed_payloads_come_back(spark):
     frame = spark.createDataFrame([("a", None, "c", "us", "[]"), (None, "n", "", "de", None)], "play_id string, app_name string, category string, country string, body string")
     back = union.of_shape(union.landed({"play": frame}), "play")
     assert back.columns == frame.columns and sorted(map(str, back.collect())) == sorted(map(str, frame.collect()))
+
+
+def test_a_time_is_parsed_once_for_all_pieces_of_its_text(spark):
+    frame = spark.createDataFrame([("a", "n", "c", "us", '[{"reviewId": "r", "content": "I hate it", "score": 1, "at": "2024-01-02T03:04:05.5Z"}]')], "play_id string, app_name string, category string, country string, body string")
+    rows = payloads.play_reviews(frame)
+    assert rows.first()["posted_at"] == "2024-01-02T03:04:05.500000+00:00"
+    once = plan(frame.select(keys.parse_time(F.col("body")))).count("jan|feb|mar")
+    assert plan(rows).count("jan|feb|mar") == once
+
+
+def test_pages_are_grouped_by_their_number_first(spark):
+    revs = spark.createDataFrame([(33, "b", "x"), (1, "b", "y"), (0, "b", "z"), (2, None, "w"), (None, "b", "v")], "event_id long, category string, item string")
+    pages = landing.paged(revs, ["category"], F.col("item"))
+    assert sorted(map(str, (tuple(r) for r in pages.select("category", "page", "items").collect()))) == sorted(map(str, [("b", 0, ["z", "y"]), ("b", 1, ["x"]), (None, 0, ["w"]), ("b", None, ["v"])]))
+    assert pages.columns == ["page", "category", "items"] and "lambda" not in plan(pages)
